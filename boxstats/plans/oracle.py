@@ -79,8 +79,179 @@ SELECT user_id, event_id, ts,
 FROM b1r
 """
 
+# B2 (order x supplier nation revenue as points) in SQL.
+_B2 = """
+per_supp AS (
+  SELECT l_orderkey, l_suppkey, sum(l_extendedprice) AS rev FROM lineitem GROUP BY 1, 2
+),
+per_nation AS (
+  SELECT l_orderkey, s_nationkey, sum(rev) AS points
+  FROM per_supp JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2
+),
+b2 AS (
+  SELECT o_orderkey AS game, o_orderdate AS game_date, o_custkey AS player,
+         c_nationkey AS team, c_mktsegment AS position_group, s_nationkey AS opponent, points
+  FROM per_nation JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+)"""
+
+
+def _avg_of_daily(src: str, value: str) -> str:
+    """A1 -> A2/A3 as SQL CTEs named d (daily), r (ranked), a (averages)."""
+    return f"""
+d AS (
+  SELECT position_group, opponent, game_date, avg({value}) AS avg_points FROM {src}
+  WHERE position_group IS NOT NULL AND opponent IS NOT NULL AND game_date IS NOT NULL
+  GROUP BY ALL
+),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY position_group, opponent
+                               ORDER BY game_date DESC NULLS FIRST) AS rn FROM d
+),
+a AS (
+  SELECT position_group, opponent,
+    avg(CASE WHEN rn <= 10 THEN avg_points END) AS avg_pts_opp_position_last_10,
+    avg(CASE WHEN rn <= 20 THEN avg_points END) AS avg_pts_opp_position_last_20,
+    avg(avg_points) AS avg_pts_opp_position_all
+  FROM r GROUP BY ALL
+)"""
+
+
+DAILY_MEAN_BY_GROUP = f"""
+WITH {_B2}
+SELECT position_group, opponent, game_date, round(avg(points), {R}) AS avg_points
+FROM b2
+WHERE position_group IS NOT NULL AND opponent IS NOT NULL AND game_date IS NOT NULL
+GROUP BY ALL
+"""
+
+OPPONENT_POSITION_AVERAGES = f"""
+WITH {_B2}, {_avg_of_daily("b2", "points")}
+SELECT position_group, opponent,
+  round(avg_pts_opp_position_last_10, {R}) AS avg_pts_opp_position_last_10,
+  round(avg_pts_opp_position_last_20, {R}) AS avg_pts_opp_position_last_20,
+  round(avg_pts_opp_position_all, {R}) AS avg_pts_opp_position_all
+FROM a
+"""
+
+WITH_OPPONENT_AVERAGES = f"""
+WITH {_B1},
+h AS (
+  SELECT event_id, user_id, position AS position_group, opponent,
+         CAST(ts AS DATE) AS game_date, value
+  FROM b1
+), {_avg_of_daily("h", "value")}
+SELECT h.event_id, h.user_id, h.position_group, h.opponent,
+  round(a.avg_pts_opp_position_last_10, {R}) AS avg_pts_opp_position_last_10,
+  round(a.avg_pts_opp_position_last_20, {R}) AS avg_pts_opp_position_last_20,
+  round(a.avg_pts_opp_position_all, {R}) AS avg_pts_opp_position_all
+FROM h LEFT JOIN a ON h.position_group = a.position_group AND h.opponent = a.opponent
+"""
+
+_GAME_ID_TEXT = """CASE WHEN regexp_full_match(CAST({c} AS VARCHAR), '[0-9]{{8}}')
+  THEN '00' || CAST({c} AS VARCHAR) ELSE CAST({c} AS VARCHAR) END"""
+
+NEW_FINISHED_GAMES = f"""
+SELECT {_GAME_ID_TEXT.format(c="o_orderkey")} AS game_id, o_orderdate AS game_date,
+       o_custkey % 25 AS home_team_id, (o_custkey + 7) % 25 AS away_team_id
+FROM orders
+WHERE o_orderstatus = 'F'
+  AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F')
+"""
+
+REPLACE_BY_KEY = """
+WITH batch AS (
+  SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, o_totalprice + 100.0 AS o_totalprice,
+         o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderstatus = 'O'
+)
+SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch)
+UNION ALL
+SELECT * FROM batch
+"""
+
+_UPCOMING_FROM = "TIMESTAMP '1996-03-01'"
+_UPCOMING_TO_1 = "TIMESTAMP '1996-03-02'"
+_UPCOMING_TO_7 = "TIMESTAMP '1996-03-08'"
+_ROSTER_GROUP = """CASE {c} WHEN 'G' THEN 'G' WHEN 'G-F' THEN 'G' WHEN 'F' THEN 'F'
+  WHEN 'F-G' THEN 'F' WHEN 'F-C' THEN 'F' WHEN 'C' THEN 'C' WHEN 'C-F' THEN 'C' ELSE {c} END"""
+
+PLAYER_GAMES = f"""
+WITH g AS (
+  SELECT o_orderkey AS game_id, o_orderdate AS game_date,
+         o_custkey % 25 AS home, (o_custkey + 7) % 25 AS away
+  FROM orders WHERE o_orderdate >= {_UPCOMING_FROM} AND o_orderdate < {_UPCOMING_TO_7}
+),
+r AS (
+  SELECT DISTINCT c_custkey AS person_id, c_name AS player_slug,
+         CAST(c_nationkey AS BIGINT) AS team_id, c_mktsegment AS position
+  FROM customer
+),
+s AS (
+  SELECT game_id, game_date, home, away, home AS team_id FROM g
+  UNION ALL
+  SELECT game_id, game_date, home, away, away AS team_id FROM g
+)
+SELECT s.game_id, s.game_date, r.team_id, r.person_id, r.player_slug, r.position,
+  CASE WHEN r.team_id = s.home THEN s.away ELSE s.home END AS opponent,
+  {_ROSTER_GROUP.format(c="r.position")} AS position_group,
+  coalesce(r.team_id = s.home, false) AS is_home
+FROM s JOIN r ON s.team_id = r.team_id
+"""
+
+_B3_COLS = """o_orderkey AS game_id, o_orderdate AS game_date, o_custkey % 25 AS home_team_id,
+  (o_custkey + 7) % 25 AS away_team_id, o_orderstatus AS game_status, o_totalprice"""
+
+GAMES_ON_DATE = f"""
+SELECT {_B3_COLS} FROM orders
+WHERE o_orderdate >= {_UPCOMING_FROM} AND o_orderdate < {_UPCOMING_TO_1}
+"""
+
+GAMES_IN_DAYS = f"""
+SELECT {_B3_COLS} FROM orders
+WHERE o_orderdate >= {_UPCOMING_FROM} AND o_orderdate < {_UPCOMING_TO_7}
+"""
+
+METADATA_JOIN = """
+SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, o_orderstatus, o_orderdate
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+"""
+
+PLAYER_ATTRIBUTES_JOIN = """
+SELECT o_orderkey, o_custkey, o_totalprice, c_nationkey, c_acctbal,
+       c_mktsegment AS segment_player
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+"""
+
+BASIC_ADVANCED_JOIN = f"""
+WITH basic AS (
+  SELECT l_orderkey, l_suppkey, sum(l_quantity) AS quantity,
+         sum(l_extendedprice) AS revenue, max(l_shipdate) AS last_ship
+  FROM lineitem GROUP BY 1, 2
+),
+adv AS (
+  SELECT l_orderkey, l_suppkey, avg(l_discount) AS avg_discount, sum(l_tax) AS tax
+  FROM lineitem WHERE l_discount > 0 GROUP BY 1, 2
+)
+SELECT b.l_orderkey, b.l_suppkey, round(b.quantity, {R}) AS quantity,
+  round(b.revenue, {R}) AS revenue, b.last_ship, round(a.avg_discount, {R}) AS avg_discount,
+  round(a.tax, {R}) AS tax
+FROM basic b LEFT JOIN adv a ON b.l_orderkey = a.l_orderkey AND b.l_suppkey = a.l_suppkey
+WHERE b.quantity IS NOT NULL
+"""
+
 ORACLE = {
     "rolling_rate_features": ROLLING_RATE_FEATURES,
     "latest_features_per_player": LATEST_FEATURES_PER_PLAYER,
     "rolling_lagged_features": ROLLING_LAGGED_FEATURES,
+    "daily_mean_by_group": DAILY_MEAN_BY_GROUP,
+    "opponent_position_averages": OPPONENT_POSITION_AVERAGES,
+    "with_opponent_averages": WITH_OPPONENT_AVERAGES,
+    "new_finished_games": NEW_FINISHED_GAMES,
+    "replace_by_key": REPLACE_BY_KEY,
+    "player_games": PLAYER_GAMES,
+    "games_on_date": GAMES_ON_DATE,
+    "games_in_days": GAMES_IN_DAYS,
+    "metadata_join": METADATA_JOIN,
+    "player_attributes_join": PLAYER_ATTRIBUTES_JOIN,
+    "basic_advanced_join": BASIC_ADVANCED_JOIN,
 }

@@ -12,9 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boxstats.functions import scalars as X
 from boxstats.operators import features as feat
+from boxstats.operators import games as G
+from boxstats.operators import history as H
+from boxstats.operators import opponent as OPP
 from boxstats.operators import windows as win
 from boxstats.plans import bindings as B
+from boxstats.sinks import writers as K
+from boxstats.sources.tables import table
 
 ROUND = 6
 B1_ORDER = ("ts", "event_id")
@@ -67,8 +73,136 @@ def rolling_lagged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "event_id", "ts", *cols)
 
 
+# Fixed parameters of the registered queries (dates inside the driver's order dates).
+UPCOMING_DATE = "1996-03-01"
+UPCOMING_DAYS = 7
+
+
+def _b1_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 with a calendar day as the game date (daily means average the day's events)."""
+    return B.events_box(spark, sf_dir).withColumns({
+        "position_group": X.history_group("position", F.lit(None).cast("string")),
+        "game_date": F.to_date("ts"),
+    })
+
+
+def daily_mean_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 on B2: mean points per (segment, supplier nation, order date)."""
+    out = OPP.daily_group_mean(B.order_supplier_points(spark, sf_dir),
+                               ["position_group", "opponent"], "game_date", "points")
+    return rounded(out)
+
+
+def opponent_position_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C3 core (A1-A3, W3, O1, O3) on B2: mean of daily means, all dates and last 10 / 20."""
+    return rounded(OPP.opponent_averages(B.order_supplier_points(spark, sf_dir),
+                                         exclude_literal=None))
+
+
+def with_opponent_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 on B1: every event row with the averages of its (event type, opponent) pair."""
+    hist = _b1_history(spark, sf_dir)
+    avgs = OPP.opponent_averages(hist, value="value")
+    out = OPP.with_opponent_averages(hist, avgs)
+    return rounded(out.select("event_id", "user_id", "position_group", "opponent",
+                              *[f"{OPP.AVG_PREFIX}_{s}" for s in ("last_10", "last_20", "all")]))
+
+
+def new_finished_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 + J1 + A5 on B3: finished orders without a stored finished line in ``lineitem``."""
+    finals = G.finished(B.orders_schedule(spark, sf_dir), "game_status", "F")
+    stored = (table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "F")
+              .select(F.col("l_orderkey").alias("gameId")))
+    out = G.new_games(finals, stored, "game_id", "gameId")
+    return out.select(X.normalise_game_id("game_id").alias("game_id"), "game_date",
+                      "home_team_id", "away_team_id")
+
+
+def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + J8 + U3 on B3: open orders come back finished and re-priced; they replace their
+    stored rows by key."""
+    target = table(spark, sf_dir, "orders")
+    batch = (target.filter(F.col("o_orderstatus") == "O")
+             .withColumns({"o_orderstatus": F.lit("F"),
+                           "o_totalprice": F.col("o_totalprice") + F.lit(100.0)}))
+    return K.replace_by_key(target, batch, ["o_orderkey"])
+
+
+def _b3_upcoming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    games = G.games_between(B.orders_schedule(spark, sf_dir), "game_date",
+                            UPCOMING_DATE, UPCOMING_DAYS)
+    return G.player_games(games, G.roster(B.customer_roster(spark, sf_dir)),
+                          home="home_team_id", away="away_team_id", game_id="game_id",
+                          game_date="game_date")
+
+
+def player_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 (J3, U1, I5, I7, I8, A4) on B3: both teams' rosters for a week of games."""
+    return _b3_upcoming(spark, sf_dir).select(
+        "game_id", "game_date", "team_id", "person_id", "player_slug", "position",
+        "opponent", "position_group", "is_home")
+
+
+def games_on_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 on B3."""
+    return G.games_between(B.orders_schedule(spark, sf_dir), "game_date", UPCOMING_DATE, 1)
+
+
+def games_in_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 on B3: [date, date + 7 days)."""
+    return G.games_between(B.orders_schedule(spark, sf_dir), "game_date", UPCOMING_DATE,
+                           UPCOMING_DAYS)
+
+
+def metadata_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + P1: line rows (box rows) with their order's metadata (schedule)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey",
+                                                 "l_quantity")
+    sched = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    out = H.with_schedule(li, sched, "l_orderkey", "o_orderkey")
+    return out.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity",
+                      "o_orderstatus", "o_orderdate")
+
+
+def player_attributes_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 + P3 + P6: orders (box rows) with customer attributes; ``c_mktsegment`` is renamed
+    as the roster position is."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    c = table(spark, sf_dir, "customer")
+    return H.with_players(o, c, "o_custkey", "c_custkey",
+                          attrs=("c_nationkey", "c_acctbal", "c_mktsegment"),
+                          rename={"c_mktsegment": "segment_player"})
+
+
+def basic_advanced_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 core (F4, P7, J5): two aggregates of lineitem by (order, supplier), the second
+    joined on by key keeping only its new columns."""
+    li = table(spark, sf_dir, "lineitem")
+    keys = ["l_orderkey", "l_suppkey"]
+    basic = li.groupBy(*keys).agg(F.sum("l_quantity").alias("quantity"),
+                                  F.sum("l_extendedprice").alias("revenue"),
+                                  F.max("l_shipdate").alias("last_ship"))
+    advanced = (li.filter(F.col("l_discount") > 0).groupBy(*keys)
+                .agg(F.avg("l_discount").alias("avg_discount"),
+                     F.max("l_shipdate").alias("last_ship"),
+                     F.sum("l_tax").alias("tax")))
+    out = H.with_advanced(H.played(basic, "quantity"), advanced, keys)
+    return rounded(out)
+
+
 QUERIES = {
     "rolling_rate_features": rolling_rate_features,
     "latest_features_per_player": latest_features_per_player,
     "rolling_lagged_features": rolling_lagged_features,
+    "daily_mean_by_group": daily_mean_by_group,
+    "opponent_position_averages": opponent_position_averages,
+    "with_opponent_averages": with_opponent_averages,
+    "new_finished_games": new_finished_games,
+    "replace_by_key": replace_by_key,
+    "player_games": player_games,
+    "games_on_date": games_on_date,
+    "games_in_days": games_in_days,
+    "metadata_join": metadata_join,
+    "player_attributes_join": player_attributes_join,
+    "basic_advanced_join": basic_advanced_join,
 }
