@@ -88,3 +88,56 @@ def customer_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").cast("long").alias("team_id"),
         F.col("c_mktsegment").alias("position"),
     )
+
+
+def clock_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clock strings in every form the minutes parser meets, derived from each line item:
+    ``MM:SS``, ``H:MM:SS``, plain numbers, ISO durations, partial junk, too many parts, empty
+    and NULL (chosen by ``l_linenumber``, values from ``l_quantity``)."""
+    li = table(spark, sf_dir, "lineitem")
+    q = F.floor("l_quantity").cast("long").cast("string")
+    ln = F.col("l_linenumber")
+    sec = F.lpad(((ln * 8) % 60).cast("string"), 2, "0")
+    clock = (F.when(ln == 1, F.concat(q, F.lit(":"), sec))
+             .when(ln == 2, F.concat(F.lit("1:"), F.lpad(q, 2, "0"), F.lit(":30")))
+             .when(ln == 3, F.col("l_quantity").cast("string"))
+             .when(ln == 4, F.concat(F.lit("PT"), q, F.lit("M")))
+             .when(ln == 5, F.concat(q, F.lit(":x")))
+             .when(ln == 6, F.concat(q, F.lit(":2:3:4")))
+             .when((ln == 7) & (F.col("l_quantity") > 25), F.lit(None).cast("string"))
+             .otherwise(F.lit("")))
+    return li.select("l_orderkey", "l_linenumber", clock.alias("clock"))
+
+
+def game_id_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Game ids of every kind, derived from each order: 10-char regular season (``002``),
+    playoffs (``004``), the 8-digit integer form, preseason (``001``) and junk, chosen by
+    ``o_orderpriority``; the season digits come from the order year."""
+    o = table(spark, sf_dir, "orders")
+    yy = F.lpad((F.year("o_orderdate") % 100).cast("string"), 2, "0")
+    serial = F.lpad((F.col("o_orderkey") % 100000).cast("string"), 5, "0")
+    pr = F.col("o_orderpriority")
+    raw = (F.when(pr == "1-URGENT", F.concat(F.lit("002"), yy, serial))
+           .when(pr == "2-HIGH", F.concat(F.lit("004"), yy, serial))
+           .when(pr == "3-MEDIUM", F.concat(F.lit("2"), yy, serial))
+           .when(pr == "4-NOT SPECIFIED", F.concat(F.lit("001"), yy, serial))
+           .otherwise(F.concat(F.lit("g"), F.col("o_orderkey").cast("string"))))
+    return o.select("o_orderkey", raw.alias("raw_id"), "o_orderdate", "o_orderstatus",
+                    "o_orderpriority", "o_custkey")
+
+
+# Roster and box-score positions assigned to parts (fixed list: the known roster positions
+# plus one unknown value; the box score adds a missing value and the literal BENCH).
+ROSTER_POSITIONS = ["G", "G-F", "F", "F-G", "F-C", "C", "C-F", "X"]
+BOX_POSITIONS = [None, "G", "F", "C", "BENCH"]
+
+
+def part_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part as a player: roster position from ``p_size``, box position from
+    ``p_partkey``."""
+    p = table(spark, sf_dir, "part")
+    roster = F.element_at(F.array(*[F.lit(x) for x in ROSTER_POSITIONS]),
+                          (F.col("p_size") % len(ROSTER_POSITIONS) + 1).cast("int"))
+    box = F.element_at(F.array(*[F.lit(x).cast("string") for x in BOX_POSITIONS]),
+                       (F.col("p_partkey") % len(BOX_POSITIONS) + 1).cast("int"))
+    return p.select("p_partkey", box.alias("position"), roster.alias("position_player"))

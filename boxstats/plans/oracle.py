@@ -239,6 +239,178 @@ FROM basic b LEFT JOIN adv a ON b.l_orderkey = a.l_orderkey AND b.l_suppkey = a.
 WHERE b.quantity IS NOT NULL
 """
 
+_Q = "CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR)"
+_INT = "'\\s*[+-]?[0-9]+\\s*'"
+_NUM = "'\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*'"
+
+
+def _is_int(x: str) -> str:
+    return f"regexp_full_match({x}, {_INT})"
+
+
+def _num(x: str) -> str:
+    return f"CAST(trim({x}) AS DOUBLE)"
+
+
+PARSE_MINUTES = f"""
+WITH c AS (
+  SELECT l_orderkey, l_linenumber,
+    CASE WHEN l_linenumber = 1
+           THEN {_Q} || ':' || lpad(CAST((l_linenumber * 8) % 60 AS VARCHAR), 2, '0')
+         WHEN l_linenumber = 2 THEN '1:' || lpad({_Q}, 2, '0') || ':30'
+         WHEN l_linenumber = 3 THEN CAST(l_quantity AS VARCHAR)
+         WHEN l_linenumber = 4 THEN 'PT' || {_Q} || 'M'
+         WHEN l_linenumber = 5 THEN {_Q} || ':x'
+         WHEN l_linenumber = 6 THEN {_Q} || ':2:3:4'
+         WHEN l_linenumber = 7 AND l_quantity > 25 THEN NULL
+         ELSE '' END AS clock
+  FROM lineitem
+),
+p AS (SELECT *, string_split(clock, ':') AS parts FROM c)
+SELECT l_orderkey, l_linenumber, clock,
+  CASE
+    WHEN clock IS NULL OR clock = '' THEN 0.0::DOUBLE
+    WHEN len(parts) = 2 AND {_is_int("parts[1]")} AND {_is_int("parts[2]")}
+      THEN {_num("parts[1]")} + {_num("parts[2]")} / 60.0::DOUBLE
+    WHEN len(parts) = 3 AND {_is_int("parts[1]")} AND {_is_int("parts[2]")}
+         AND {_is_int("parts[3]")}
+      THEN {_num("parts[1]")} * 60.0::DOUBLE + {_num("parts[2]")}
+           + {_num("parts[3]")} / 60.0::DOUBLE
+    WHEN len(parts) = 1 AND regexp_full_match(clock, {_NUM}) THEN {_num("clock")}
+    ELSE 0.0::DOUBLE END AS minutes
+FROM p
+"""
+
+_RAW_ID = """CASE o_orderpriority
+    WHEN '1-URGENT' THEN '002' || {yy} || {serial}
+    WHEN '2-HIGH' THEN '004' || {yy} || {serial}
+    WHEN '3-MEDIUM' THEN '2' || {yy} || {serial}
+    WHEN '4-NOT SPECIFIED' THEN '001' || {yy} || {serial}
+    ELSE 'g' || CAST(o_orderkey AS VARCHAR) END""".format(
+    yy="lpad(CAST(year(o_orderdate) % 100 AS VARCHAR), 2, '0')",
+    serial="lpad(CAST(o_orderkey % 100000 AS VARCHAR), 5, '0')")
+_IDS = f"""ids AS (
+  SELECT o_orderkey, {_RAW_ID} AS raw_id, o_orderdate, o_orderstatus, o_orderpriority,
+         o_custkey
+  FROM orders
+)"""
+_NORM = "CASE WHEN regexp_full_match(raw_id, '[0-9]{8}') THEN '00' || raw_id ELSE raw_id END"
+
+EXTRACT_SEASON = f"""
+WITH {_IDS}
+SELECT o_orderkey, raw_id,
+  CAST(CASE WHEN length(raw_id) = 8 AND regexp_full_match(substr(raw_id, 2, 2), '[0-9]{{2}}')
+         THEN CAST(substr(raw_id, 2, 2) AS INTEGER) + 2000
+       WHEN length(raw_id) <> 8 AND starts_with(raw_id, '00')
+            AND regexp_full_match(substr(raw_id, 4, 2), '[0-9]{{2}}')
+         THEN CAST(substr(raw_id, 4, 2) AS INTEGER) + 2000 END AS DOUBLE) AS season
+FROM ids
+"""
+
+GAME_ID_NORMALISE = f"""
+WITH {_IDS}
+SELECT o_orderkey, raw_id, {_NORM} AS game_id FROM ids
+"""
+
+GAME_TYPE_FLAGS = f"""
+WITH {_IDS}, n AS (SELECT o_orderkey, {_NORM} AS game_id FROM ids)
+SELECT o_orderkey, game_id, starts_with(game_id, '004') AS is_playoffs,
+       starts_with(game_id, '002') AS is_regular_season
+FROM n WHERE starts_with(game_id, '004') OR starts_with(game_id, '002')
+"""
+
+_KNOWN_GROUP = """CASE {c} WHEN 'G' THEN 'G' WHEN 'G-F' THEN 'G' WHEN 'F' THEN 'F'
+  WHEN 'F-G' THEN 'F' WHEN 'F-C' THEN 'F' WHEN 'C' THEN 'C' WHEN 'C-F' THEN 'C' END"""
+_PARTS = """pp AS (
+  SELECT p_partkey,
+    [NULL, 'G', 'F', 'C', 'BENCH'][p_partkey % 5 + 1] AS position,
+    ['G', 'G-F', 'F', 'F-G', 'F-C', 'C', 'C-F', 'X'][p_size % 8 + 1] AS position_player
+  FROM part
+)"""
+
+POSITION_GROUP_ROSTER = f"""
+WITH {_PARTS}
+SELECT p_partkey, position_player,
+  coalesce({_KNOWN_GROUP.format(c="position_player")}, position_player) AS position_group
+FROM pp
+"""
+
+POSITION_GROUP_HISTORY = f"""
+WITH {_PARTS}, f AS (
+  SELECT p_partkey, coalesce(position, 'bench') AS position, position_player FROM pp
+)
+SELECT p_partkey, position, position_player,
+  CASE WHEN position = 'bench'
+       THEN coalesce({_KNOWN_GROUP.format(c="position_player")}, 'bench')
+       ELSE position END AS position_group
+FROM f WHERE position <> 'BENCH'
+"""
+
+_SEASONS = range(1995, 2002)
+ONE_HOT_CONTEXT = """
+WITH x AS (
+  SELECT o_orderkey, coalesce(CAST(c_nationkey AS BIGINT) = o_custkey % 25, false) AS is_home,
+         year(o_orderdate) AS season
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+)
+SELECT o_orderkey,
+  CASE WHEN is_home = false THEN 1.0 ELSE 0.0 END::DOUBLE AS is_home_False,
+  CASE WHEN is_home = true THEN 1.0 ELSE 0.0 END::DOUBLE AS is_home_True,
+  """ + ",\n  ".join(
+    f"CASE WHEN season = {y} THEN 1.0 ELSE 0.0 END::DOUBLE AS season_{y}" for y in _SEASONS
+) + """
+FROM x
+"""
+
+FLATTEN_NESTED = f"""
+WITH {_IDS}, n AS (SELECT *, {_NORM} AS game_id FROM ids)
+SELECT game_id, starts_with(game_id, '002') AS is_regular_season,
+  starts_with(game_id, '004') AS is_playoffs, o_orderpriority AS playoffs_desc,
+  CAST(o_orderdate AS DATE) AS game_date,
+  o_custkey % 25 AS home_team_id, 'T' || CAST(o_custkey % 25 AS VARCHAR) AS home_team_tricode,
+  (o_custkey + 7) % 25 AS visitor_team_id,
+  'T' || CAST((o_custkey + 7) % 25 AS VARCHAR) AS visitor_team_tricode,
+  CASE WHEN o_orderstatus = 'F' THEN '3' ELSE '1' END AS game_status,
+  o_orderstatus AS game_status_text
+FROM n WHERE starts_with(game_id, '002') OR starts_with(game_id, '004')
+"""
+
+SCHEDULE_DATETIME_PARSE = """
+WITH t AS (
+  SELECT o_orderkey,
+    CASE WHEN o_orderpriority = '5-LOW' THEN 'not a date'
+         WHEN o_orderpriority = '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+         ELSE strftime(o_orderdate, '%Y-%m-%d') END AS gameDate
+  FROM orders
+)
+SELECT o_orderkey, gameDate, TRY_CAST(gameDate AS TIMESTAMP) AS game_date FROM t
+"""
+
+LOWER_COLUMNS = "SELECT * FROM customer"
+
+DEDUP_ROSTER = """
+SELECT DISTINCT c_custkey AS person_id, c_name AS player_slug,
+       CAST(c_nationkey AS BIGINT) AS team_id, c_mktsegment AS position
+FROM customer
+"""
+
+_LINEITEM_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                  "l_shipdate")
+QUALITY_REPORT = "\nUNION ALL\n".join(
+    ["""SELECT 'rows' AS "check", '' AS "column", count(*) AS value FROM lineitem"""]
+    + [f"""SELECT 'nulls', '{c}', count(*) - count({c}) FROM lineitem""" for c in _LINEITEM_COLS]
+    + ["""SELECT 'duplicate_keys', '',
+  (SELECT count(*) FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL)
+  - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem
+                           WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL))"""]
+    + [f"""SELECT 'orphans', '{name}', count(*) FROM lineitem
+  WHERE {k} IS NOT NULL AND {k} NOT IN (SELECT {ok} FROM {name} WHERE {ok} IS NOT NULL)"""
+       for name, k, ok in (("orders", "l_orderkey", "o_orderkey"),
+                           ("part", "l_partkey", "p_partkey"),
+                           ("supplier", "l_suppkey", "s_suppkey"))]
+)
+
 ORACLE = {
     "rolling_rate_features": ROLLING_RATE_FEATURES,
     "latest_features_per_player": LATEST_FEATURES_PER_PLAYER,
@@ -254,4 +426,16 @@ ORACLE = {
     "metadata_join": METADATA_JOIN,
     "player_attributes_join": PLAYER_ATTRIBUTES_JOIN,
     "basic_advanced_join": BASIC_ADVANCED_JOIN,
+    "parse_minutes": PARSE_MINUTES,
+    "extract_season": EXTRACT_SEASON,
+    "game_id_normalise": GAME_ID_NORMALISE,
+    "game_type_flags": GAME_TYPE_FLAGS,
+    "position_group_roster": POSITION_GROUP_ROSTER,
+    "position_group_history": POSITION_GROUP_HISTORY,
+    "one_hot_context": ONE_HOT_CONTEXT,
+    "flatten_nested": FLATTEN_NESTED,
+    "schedule_datetime_parse": SCHEDULE_DATETIME_PARSE,
+    "lower_columns": LOWER_COLUMNS,
+    "dedup_roster": DEDUP_ROSTER,
+    "quality_report": QUALITY_REPORT,
 }

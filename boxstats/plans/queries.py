@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boxstats.functions import scalars as X
+from boxstats.operators import encode as ENC
+from boxstats.operators import projections as PR
+from boxstats.operators import quality as Q
+from boxstats.sources import readers as RD
+from boxstats.sources import schemas as SC
 from boxstats.operators import features as feat
 from boxstats.operators import games as G
 from boxstats.operators import history as H
@@ -190,6 +195,127 @@ def basic_advanced_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out)
 
 
+def parse_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1 over clock strings of every form."""
+    c = B.clock_texts(spark, sf_dir)
+    return c.withColumn("minutes", X.parse_minutes("clock"))
+
+
+def extract_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I2 over game ids of every kind (raw, not normalised: both id forms are read)."""
+    g = B.game_id_texts(spark, sf_dir)
+    # Presented as double: an integer column with NULLs compares unambiguously that way.
+    return g.select("o_orderkey", "raw_id", X.season_of("raw_id").cast("double").alias("season"))
+
+
+def game_id_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4: 8-digit ids get the ``00`` prefix; everything else is kept as is."""
+    g = B.game_id_texts(spark, sf_dir)
+    return g.select("o_orderkey", "raw_id", X.normalise_game_id("raw_id").alias("game_id"))
+
+
+def game_type_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 + I11 on normalised ids: regular-season and playoff games only."""
+    g = B.game_id_texts(spark, sf_dir).withColumn("game_id", X.normalise_game_id("raw_id"))
+    out = G.with_game_type(g, "game_id")
+    return out.select("o_orderkey", "game_id", "is_playoffs", "is_regular_season")
+
+
+def position_group_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roster position to G / F / C, unknown values unchanged."""
+    p = B.part_positions(spark, sf_dir)
+    return p.select("p_partkey", "position_player",
+                    X.roster_group("position_player").alias("position_group"))
+
+
+def position_group_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P8 + I6 + F5: fill the box position with ``bench``, derive the history group, then
+    leave out rows whose position is literally ``BENCH`` (bench-filled rows stay)."""
+    p = PR.fill_position(B.part_positions(spark, sf_dir))
+    out = p.withColumn("position_group", X.history_group("position", "position_player"))
+    return out.filter(F.col("position") != F.lit(X.BENCH_LITERAL))
+
+
+def _b3_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    joined = H.with_players(o, c, "o_custkey", "c_custkey", attrs=("c_nationkey",), rename={})
+    return joined.select(
+        "o_orderkey",
+        X.is_home(F.col("c_nationkey").cast("long"),
+                  F.col("o_custkey") % B.B3_TEAMS).alias("is_home"),
+        F.year("o_orderdate").alias("season"))
+
+
+def one_hot_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + I12 (C5): categories fitted over the whole table, one 0/1 column each."""
+    ctx = _b3_context(spark, sf_dir)
+    fitted = ENC.fit_categories(ctx, ["is_home", "season"])
+    return ENC.one_hot(ctx, fitted)
+
+
+def _nested_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as season-schedule documents: per order one month holding its game, and one
+    month without ``mscd`` (skipped by the flattening, as a month without games is)."""
+    g = B.game_id_texts(spark, sf_dir)
+    home = F.col("o_custkey") % B.B3_TEAMS
+    away = (F.col("o_custkey") + B.B3_AWAY_OFFSET) % B.B3_TEAMS
+    game = F.struct(
+        F.col("raw_id").alias("gid"),
+        F.col("o_orderpriority").alias("seri"),
+        F.when(F.col("o_orderstatus") == "F", "3").otherwise("1").alias("st"),
+        F.col("o_orderstatus").alias("stt"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("gdte"),
+        F.struct(home.alias("tid"), F.concat(F.lit("T"), home.cast("string")).alias("ta"))
+        .alias("h"),
+        F.struct(away.alias("tid"), F.concat(F.lit("T"), away.cast("string")).alias("ta"))
+        .alias("v"))
+    month = F.struct(F.struct(F.array(game).alias("g")).alias("mscd"))
+    mscd_type = SC.SEASON_SCHEDULE_JSON["lscd"].dataType.elementType["mscd"].dataType
+    empty = F.struct(F.lit(None).cast(mscd_type).alias("mscd"))
+    return g.select(F.array(month, empty).alias("lscd"))
+
+
+def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + P4 + P3 + F1 + P1 (C10): nested season documents to the flat 11-column
+    schedule of regular-season and playoff games."""
+    return RD.season_games(_nested_schedule(spark, sf_dir))
+
+
+def schedule_datetime_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: dates landed as text (plus unreadable text) parsed to timestamps."""
+    o = table(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("not a date")) \
+        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED",
+              F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")) \
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    landed = o.select("o_orderkey", text.alias("gameDate"))
+    parsed = PR.parse_datetimes(landed.withColumn("game_date", F.col("gameDate")), ["game_date"])
+    return parsed
+
+
+def lower_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table landed with upper-case column names, read back lower-case."""
+    c = table(spark, sf_dir, "customer")
+    upper = c.toDF(*[x.upper() for x in c.columns])
+    return PR.lower_columns(upper)
+
+
+def dedup_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 + U4: a roster landed twice, deduplicated."""
+    r = B.customer_roster(spark, sf_dir)
+    return G.roster(r.unionByName(r))
+
+
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 on lineitem: rows, NULLs per column, duplicate (order, line) keys, orphan keys."""
+    li = table(spark, sf_dir, "lineitem")
+    rels = [("orders", table(spark, sf_dir, "orders"), "l_orderkey", "o_orderkey"),
+            ("part", table(spark, sf_dir, "part"), "l_partkey", "p_partkey"),
+            ("supplier", table(spark, sf_dir, "supplier"), "l_suppkey", "s_suppkey")]
+    return Q.quality_report(li, ["l_orderkey", "l_linenumber"], rels)
+
+
 QUERIES = {
     "rolling_rate_features": rolling_rate_features,
     "latest_features_per_player": latest_features_per_player,
@@ -205,4 +331,16 @@ QUERIES = {
     "metadata_join": metadata_join,
     "player_attributes_join": player_attributes_join,
     "basic_advanced_join": basic_advanced_join,
+    "parse_minutes": parse_minutes,
+    "extract_season": extract_season,
+    "game_id_normalise": game_id_normalise,
+    "game_type_flags": game_type_flags,
+    "position_group_roster": position_group_roster,
+    "position_group_history": position_group_history,
+    "one_hot_context": one_hot_context,
+    "flatten_nested": flatten_nested,
+    "schedule_datetime_parse": schedule_datetime_parse,
+    "lower_columns": lower_columns,
+    "dedup_roster": dedup_roster,
+    "quality_report": quality_report,
 }
