@@ -411,6 +411,69 @@ QUALITY_REPORT = "\nUNION ALL\n".join(
                            ("supplier", "l_suppkey", "s_suppkey"))]
 )
 
+_OPP = ("avg_pts_opp_position_last_10", "avg_pts_opp_position_last_20",
+        "avg_pts_opp_position_all")
+_OPP_FEATURES = [f"{c}_per36" for c in _OPP] + [f"{c}_per_poss" for c in _OPP]
+_B1_FEATURES = [f"{c}_rolling_{n}" for n in _WINDOWS for c in _RATES]
+
+
+def _finite(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL OR isnan({x}) OR isinf({x}) THEN 0.0::DOUBLE ELSE {x} END"
+
+
+PREDICTION_INPUTS = f"""
+WITH {_B1},
+h AS (
+  SELECT event_id, user_id, ts, value, minutes, possessions, position AS position_group,
+         opponent, CAST(ts AS DATE) AS game_date
+  FROM b1
+), {_avg_of_daily("h", "value")},
+j AS (
+  SELECT h.*, a.avg_pts_opp_position_last_10, a.avg_pts_opp_position_last_20,
+         a.avg_pts_opp_position_all
+  FROM h LEFT JOIN a ON h.position_group = a.position_group AND h.opponent = a.opponent
+),
+rt AS (
+  SELECT *, value / nullif(minutes, 0) * 36 AS value_per36,
+         value / nullif(possessions, 0) AS value_per_poss,
+         """ + ",\n         ".join(
+    [f"{c} / nullif(minutes, 0) * 36 AS {c}_per36" for c in _OPP]
+    + [f"{c} / nullif(possessions, 0) AS {c}_per_poss" for c in _OPP]) + f"""
+  FROM j
+),
+f AS (
+  SELECT user_id, {_rolling_cols()},
+    {", ".join(_OPP_FEATURES)},
+    row_number() OVER (PARTITION BY user_id
+                       ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST) AS rn
+  FROM rt
+),
+latest AS (SELECT * FROM f WHERE rn = 1 AND user_id IS NOT NULL),
+g AS (
+  SELECT o_orderkey AS game_id, o_custkey % 25 AS home, (o_custkey + 7) % 25 AS away
+  FROM orders WHERE o_orderdate >= {_UPCOMING_FROM} AND o_orderdate < {_UPCOMING_TO_7}
+),
+ros AS (SELECT DISTINCT user_id AS person_id, user_id % 30 AS team_id FROM events),
+s AS (
+  SELECT game_id, home, away, home AS team_id FROM g
+  UNION ALL
+  SELECT game_id, home, away, away AS team_id FROM g
+),
+up AS (
+  SELECT s.game_id, ros.person_id, ros.team_id,
+         CASE WHEN ros.team_id = s.home THEN s.away ELSE s.home END AS opponent
+  FROM s JOIN ros ON s.team_id = ros.team_id
+)
+SELECT up.game_id, up.person_id, up.team_id, up.opponent,
+  """ + ",\n  ".join(
+    [f"{_finite('latest.' + c)} AS {c}" for c in _B1_FEATURES]
+    + [f"round({_finite('latest.' + c)}, {R}) AS {c}" for c in _OPP_FEATURES]) + """
+FROM up JOIN latest ON up.person_id = latest.user_id
+"""
+
+STREAM_INGEST = "SELECT * FROM events"
+AUDIT_AND_WRITE = "SELECT * FROM nation"
+
 ORACLE = {
     "rolling_rate_features": ROLLING_RATE_FEATURES,
     "latest_features_per_player": LATEST_FEATURES_PER_PLAYER,
@@ -438,4 +501,7 @@ ORACLE = {
     "lower_columns": LOWER_COLUMNS,
     "dedup_roster": DEDUP_ROSTER,
     "quality_report": QUALITY_REPORT,
+    "prediction_inputs": PREDICTION_INPUTS,
+    "stream_ingest": STREAM_INGEST,
+    "audit_and_write": AUDIT_AND_WRITE,
 }

@@ -24,7 +24,12 @@ from boxstats.operators import history as H
 from boxstats.operators import opponent as OPP
 from boxstats.operators import windows as win
 from boxstats.plans import bindings as B
+from boxstats.model import points as M
+from boxstats.operators import inputs as INP
+from boxstats.session import scratch_dir
 from boxstats.sinks import writers as K
+from boxstats.sources import readers as RDR
+from boxstats.streaming.ingest import stream_ingest as run_stream_ingest
 from boxstats.sources.tables import table
 
 ROUND = 6
@@ -316,6 +321,108 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_report(li, ["l_orderkey", "l_linenumber"], rels)
 
 
+TRAIN_SPLIT = "2024-01-21"
+B1_FEATURES = feat.feature_names(stats=B1_STATS)
+
+
+def _b1_with_opponent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = _b1_history(spark, sf_dir)
+    with_opp = OPP.with_opponent_averages(hist, OPP.opponent_averages(hist, value="value"))
+    return feat.with_rates(with_opp, list(B1_STATS) + list(feat.OPPONENT_STATS))
+
+
+def _b1_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.col("user_id").alias("person_id"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("player_slug"),
+        (F.col("user_id") % B.B1_TEAMS).alias("team_id"),
+        F.lit(None).cast("string").alias("position"))
+
+
+def _b1_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = _b1_with_opponent(spark, sf_dir)
+    latest = win.latest_rolling_means(rated, feat.rate_columns(B1_STATS), "user_id", B1_ORDER,
+                                      name_fmt=feat.ROLLING)
+    games = G.games_between(B.orders_schedule(spark, sf_dir), "game_date",
+                            UPCOMING_DATE, UPCOMING_DAYS)
+    upcoming = G.player_games(games, G.roster(_b1_roster(spark, sf_dir)),
+                              home="home_team_id", away="away_team_id", game_id="game_id",
+                              game_date="game_date")
+    return INP.prediction_inputs(upcoming, None, B1_FEATURES, player="user_id",
+                                 left_key="person_id", latest=latest)
+
+
+def prediction_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 (W2, J7, P7, P8, P9) on B1: each upcoming player-game with the player's latest
+    rolling rates and opponent-average rates, missing values filled with 0. The opponent
+    rates come from an aggregate and are rounded; rolling means are exact."""
+    out = _b1_inputs(spark, sf_dir).select("game_id", "person_id", "team_id", "opponent",
+                                            *B1_FEATURES)
+    return out.withColumns({c: F.round(c, ROUND) for c in feat.OPPONENT_FEATURES})
+
+
+def _b1_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows: features of earlier events only (frames i-n .. i-1), label ``value``."""
+    rated = _b1_with_opponent(spark, sf_dir)
+    return win.rolling_means(rated, feat.rate_columns(B1_STATS), "user_id", B1_ORDER,
+                             include_current=False, name_fmt=feat.ROLLING)
+
+
+def _b1_model(spark: SparkSession, sf_dir: str):
+    train, _ = M.split_by_date(_b1_training(spark, sf_dir), "ts", TRAIN_SPLIT)
+    return M.train_points(train, B1_FEATURES, label="value", max_iter=10, max_depth=4)
+
+
+def score_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 + M2 + M3 + C7 + P11: train on earlier events, score the upcoming player-games,
+    seven output columns."""
+    model = _b1_model(spark, sf_dir)
+    scored = M.score(_b1_inputs(spark, sf_dir), model, B1_FEATURES)
+    mapping = dict(PR.PREDICTION_COLUMNS, gameId="game_id", gameDate="game_date")
+    return PR.prediction_rows(scored, mapping).withColumn("gameDate", F.to_date("gameDate"))
+
+
+def evaluate_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: rmse / mae / r2 on events after the split date (time split, no leakage)."""
+    data = _b1_training(spark, sf_dir)
+    train, test = M.split_by_date(data, "ts", TRAIN_SPLIT)
+    model = M.train_points(train, B1_FEATURES, label="value", max_iter=10, max_depth=4)
+    metrics = M.evaluate(M.score(test, model, B1_FEATURES), label="value")
+    return spark.createDataFrame([(k, v) for k, v in metrics.items()], "metric string, value double")
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` landed as files twice (a full replay), ingested with an availableNow
+    stream and replace-by-key per micro-batch; the stored table equals ``events``."""
+    base = scratch_dir(spark, "stream")
+    landing, target, ckpt = f"{base}/landing", f"{base}/target", f"{base}/checkpoint"
+    events = table(spark, sf_dir, "events")
+    for _ in range(2):
+        events.write.mode("append").parquet(landing)
+    run_stream_ingest(spark, landing, events.schema, target, ckpt, ["event_id"], "event_day",
+                      prepare=lambda df: df.withColumn("event_day", F.to_date("ts")),
+                      max_files_per_trigger=4)
+    return spark.read.parquet(target).select(*events.columns)
+
+
+def audit_and_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + K2 + K4 + K5 + K6 + S7 + S8 + S9: nation with an audit column written as CSV,
+    read back with its schema, truncate-loaded as parquet, an empty batch committed (writes
+    nothing), a missing table read as empty, and the parquet copy returned."""
+    import datetime as dt
+    base = scratch_dir(spark, "audit")
+    nation = table(spark, sf_dir, "nation")
+    stamped = K.with_audit(nation, dt.datetime(2024, 1, 1, 12, 0, 0))
+    K.write_csv(stamped, f"{base}/csv")
+    back = RDR.load_table(spark, f"{base}/csv", stamped.schema, fmt="csv")
+    K.write_truncate(back, f"{base}/parquet")
+    stored = RDR.load_or_empty(spark, f"{base}/parquet", stamped.schema)
+    empty = RDR.load_or_empty(spark, f"{base}/missing", stamped.schema)
+    K.commit_replace(spark, empty, f"{base}/parquet", ["n_nationkey"], "n_regionkey")
+    return stored.unionByName(empty).select(*nation.columns)
+
+
 QUERIES = {
     "rolling_rate_features": rolling_rate_features,
     "latest_features_per_player": latest_features_per_player,
@@ -343,4 +450,9 @@ QUERIES = {
     "lower_columns": lower_columns,
     "dedup_roster": dedup_roster,
     "quality_report": quality_report,
+    "prediction_inputs": prediction_inputs,
+    "score_points": score_points,
+    "evaluate_points": evaluate_points,
+    "stream_ingest": stream_ingest,
+    "audit_and_write": audit_and_write,
 }

@@ -4,34 +4,57 @@ A file-source stream with an explicit schema, run with ``trigger(availableNow=Tr
 file landed since the last run is processed, then the query stops. The checkpoint replaces the
 "already processed" bookkeeping; each micro-batch is committed with the partition-scoped
 replace-by-key, which is idempotent, so a replayed batch after a failure changes nothing.
+
+One micro-batch may hold several landed copies of a row (a payload landed twice). Rows are
+first reduced to one per ``row_keys``, keeping the copy from the most recently landed file, so
+the replace never inserts duplicates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boxstats.sinks.writers import commit_replace
 
+_LANDED = "__landed"
+_FILE = "__file"
+
+
+def latest_copy(batch: DataFrame, row_keys: Sequence[str]) -> DataFrame:
+    """One row per ``row_keys``: the copy of the latest landed file (ties: file name)."""
+    w = Window.partitionBy(*row_keys).orderBy(F.col(_LANDED).desc(), F.col(_FILE).desc())
+    return (batch.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1)
+            .drop("__rn", _LANDED, _FILE))
+
 
 def stream_ingest(spark: SparkSession, landing_dir: str, schema: T.StructType,
                   target_path: str, checkpoint_path: str, keys: Sequence[str],
-                  partition_col: str, fmt: str = "parquet",
+                  partition_col: str, row_keys: Sequence[str] | None = None,
+                  fmt: str = "parquet",
                   prepare: Callable[[DataFrame], DataFrame] | None = None,
                   max_files_per_trigger: int | None = None, audit: bool = False) -> list[dict]:
-    """Run the stream until the landed files are consumed; returns per-batch metrics."""
+    """Run the stream until the landed files are consumed; returns per-batch metrics.
+
+    keys: replace key (all stored rows with a batch key are replaced); row_keys: identity of
+    one row (defaults to ``keys``)."""
+    row_keys = list(row_keys or keys)
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(landing_dir)
+    stream = reader.load(landing_dir).select(
+        "*", F.col("_metadata.file_modification_time").alias(_LANDED),
+        F.col("_metadata.file_path").alias(_FILE))
     if prepare is not None:
         stream = prepare(stream)
     metrics: list[dict] = []
 
     def commit(batch: DataFrame, epoch_id: int) -> None:
-        m = commit_replace(spark, batch, target_path, keys, partition_col, audit=audit)
+        m = commit_replace(spark, latest_copy(batch, row_keys), target_path, keys,
+                           partition_col, audit=audit)
         m["epoch"] = epoch_id
         metrics.append(m)
 
