@@ -1,0 +1,139 @@
+"""Hand-made box-score tables with the quirks FIXTURES.md lists (small, for unit tests)."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import os
+
+from boxstats.sources import schemas as SC
+
+D0 = dt.date(2024, 11, 1)
+
+
+def players_rows():
+    # person_id, slug, team, position; 105 twice (duplicated key), 107 rostered without games.
+    base = [(101, "a-guard", 1, "G"), (102, "b-wing", 1, "G-F"), (103, "c-big", 1, "C"),
+            (104, "d-forward", 2, "F-C"), (105, "e-swing", 2, "F-G"), (105, "e-swing", 2, "F-G"),
+            (106, "f-center", 2, "C-F"), (107, "g-rookie", 2, "F")]
+    out = []
+    for pid, slug, team, pos in base:
+        row = {f.name: None for f in SC.PLAYERS.fields}
+        row.update(person_id=pid, player_slug=slug, team_id=team, position=pos,
+                   height="6-6", weight="210")
+        out.append(tuple(row[f.name] for f in SC.PLAYERS.fields))
+    return out
+
+
+def _game_id(k: int) -> str:
+    return f"00224{k:05d}"
+
+
+def games():
+    """(game_id, date, home, visitor): 24 past games between teams 1 and 2, one per day."""
+    return [(_game_id(k), D0 + dt.timedelta(days=k), 1 if k % 2 else 2, 2 if k % 2 else 1)
+            for k in range(1, 25)]
+
+
+def _minutes(pid: int, k: int):
+    if pid == 103 and k == 3:
+        return None          # did not play
+    if pid == 101 and k == 4:
+        return "0:00"        # zero minutes
+    if pid == 102 and k == 5:
+        return "1:02:30"
+    return f"{20 + (pid + k) % 15}:{(pid * k) % 60:02d}"
+
+
+def box_rows(pids=(101, 102, 103, 104, 105, 106)):
+    """Basic and advanced box-score rows for every game and player of both teams."""
+    team_of = {101: 1, 102: 1, 103: 1, 104: 2, 105: 2, 106: 2}
+    basic, adv = [], []
+    for gid, day, home, visitor in games():
+        k = int(gid[-5:])
+        for pid in pids:
+            if pid == 104 and k > 4:
+                continue                       # a player with 4 games
+            team = team_of[pid]
+            position = None if pid in (102, 105) else {101: "G", 103: "C", 104: "F",
+                                                       106: "C"}[pid]
+            if pid == 106 and k % 3 == 0:
+                position = "BENCH"
+            minutes = _minutes(pid, k)
+            pts = (pid * 7 + k * 3) % 31
+            stats = {f: (0.0 if t.typeName() == "double" else 0) for f, t in SC.BASIC_STATS}
+            stats.update(fieldGoalsMade=pts // 3, threePointersMade=k % 3, freeThrowsMade=k % 4,
+                         points=pts, fieldGoalsPercentage=0.45)
+            game = dict(is_regular_season=True, is_playoffs=False, playoffs_desc=None,
+                        game_date=day, home_team_id=home, visitor_team_id=visitor,
+                        game_status_text="Final")
+            row = dict(gameId=gid, teamId=team, teamTricode=f"T{team}", personId=pid,
+                       playerSlug=f"p{pid}", position=position, minutes=minutes, **stats,
+                       **game)
+            basic.append(tuple(row[f.name] for f in SC.BOX_BASIC.fields))
+            astats = {f: 0.0 for f, _ in SC.ADVANCED_STATS}
+            astats.update(usagePercentage=0.2 + pid % 5 / 100, trueShootingPercentage=0.55,
+                          effectiveFieldGoalPercentage=0.5, offensiveRating=100.0 + k,
+                          possessions=0.0 if (pid == 101 and k == 6) else 50.0 + k % 9)
+            arow = dict(row, **astats)
+            adv.append(tuple(arow[f.name] for f in SC.BOX_ADVANCED.fields))
+    return basic, adv
+
+
+def schedule_rows():
+    """League schedule: past games plus two upcoming games on D0 + 30."""
+    out = []
+    upcoming = [(_game_id(100), D0 + dt.timedelta(days=30), 1, 2),
+                (_game_id(101), D0 + dt.timedelta(days=30), 2, 1)]
+    for gid, day, home, visitor in games() + upcoming:
+        row = {f.name: None for f in SC.SCHEDULE.fields}
+        row.update(gameId=gid, gameDate=dt.datetime.combine(day, dt.time()),
+                   homeTeam_teamId=home, awayTeam_teamId=visitor, gameStatus=3)
+        out.append(tuple(row[f.name] for f in SC.SCHEDULE.fields))
+    return out
+
+
+def tables(spark):
+    from boxstats.plans.pipeline import Tables
+    basic, adv = box_rows()
+    return Tables(
+        basic=spark.createDataFrame(basic, SC.BOX_BASIC),
+        advanced=spark.createDataFrame(adv, SC.BOX_ADVANCED),
+        players=spark.createDataFrame(players_rows(), SC.PLAYERS),
+        schedule=spark.createDataFrame(schedule_rows(), SC.SCHEDULE),
+    )
+
+
+def season_document(path: str, finished_upto: int = 24) -> None:
+    """Nested season schedule JSON: months with games, one month without ``mscd``, one with
+    ``mscd`` but no ``g``; a preseason game; ids as 10-char text."""
+    def g(k, status):
+        home = 1 if k % 2 else 2
+        return {"gid": _game_id(k), "seri": "", "st": status, "stt": "Final",
+                "gdte": (D0 + dt.timedelta(days=k)).isoformat(),
+                "h": {"tid": home, "ta": f"T{home}"}, "v": {"tid": 3 - home, "ta": f"T{3-home}"}}
+    month1 = {"mscd": {"g": [g(k, "3" if k <= finished_upto else "1") for k in range(1, 13)]}}
+    month2 = {"mscd": {"g": [g(k, "3" if k <= finished_upto else "1") for k in range(13, 25)]
+              + [{**g(99, "3"), "gid": "0012400099"}]}}
+    doc = {"lscd": [month1, {"other": 1}, {"mscd": {}}, month2]}
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as fh:
+        json.dump(doc, fh)
+
+
+def land_payloads(directory: str, game_keys, bad: bool = True) -> None:
+    """One JSON-lines payload per game, plus an empty and a malformed one."""
+    basic, _ = box_rows()
+    names = [f.name for f in SC.BASIC_PAYLOAD.fields]
+    idx = {f.name: i for i, f in enumerate(SC.BOX_BASIC.fields)}
+    os.makedirs(directory, exist_ok=True)
+    for k in game_keys:
+        gid = _game_id(k)
+        with open(os.path.join(directory, f"{gid}.json"), "w") as fh:
+            for row in basic:
+                if row[idx["gameId"]] == gid:
+                    fh.write(json.dumps({n: row[idx[n]] for n in names}) + "\n")
+    if bad:
+        open(os.path.join(directory, "empty.json"), "w").close()
+        with open(os.path.join(directory, "broken.json"), "w") as fh:
+            fh.write('{"gameId": "0022400007", "personId": 1, "minutes": \n')
