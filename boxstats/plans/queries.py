@@ -326,11 +326,23 @@ B1_FEATURES = feat.feature_names(stats=B1_STATS)
 
 
 def _b1_with_opponent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every B1 row with its rates and opponent-average rates (training rows)."""
     hist = _b1_history(spark, sf_dir)
     with_opp = OPP.with_opponent_averages(hist, OPP.opponent_averages(hist, value="value"))
     return feat.with_rates(with_opp, list(B1_STATS) + list(feat.OPPONENT_STATS))
 
 
+def _b1_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest B1 row per player: cut to the last 20 rows first, then the opponent averages
+    are joined to the cut rows only."""
+    hist = _b1_history(spark, sf_dir)
+    latest = win.latest_rolling_means(feat.with_rates(hist, B1_STATS),
+                                      feat.rate_columns(B1_STATS), "user_id", B1_ORDER,
+                                      name_fmt=feat.ROLLING)
+    with_opp = OPP.with_opponent_averages(latest, OPP.opponent_averages(hist, value="value"))
+    return feat.with_rates(with_opp, feat.OPPONENT_STATS)
+
+
 def _b1_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(
@@ -341,9 +353,7 @@ def _b1_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _b1_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rated = _b1_with_opponent(spark, sf_dir)
-    latest = win.latest_rolling_means(rated, feat.rate_columns(B1_STATS), "user_id", B1_ORDER,
-                                      name_fmt=feat.ROLLING)
+    latest = _b1_latest(spark, sf_dir)
     games = G.games_between(B.orders_schedule(spark, sf_dir), "game_date",
                             UPCOMING_DATE, UPCOMING_DAYS)
     upcoming = G.player_games(games, G.roster(_b1_roster(spark, sf_dir)),
