@@ -27,6 +27,9 @@ BENCH_LITERAL = "BENCH"
 # Season = two digits of the game id + this year.
 SEASON_BASE_YEAR = 2000
 
+_INT = r"\s*[+-]?[0-9]+\s*"
+_TWO_RE = f"^{_INT}:{_INT}$"
+_THREE_RE = f"^{_INT}:{_INT}:{_INT}$"
 _NUM_RE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
@@ -39,27 +42,24 @@ def parse_minutes(c) -> Column:
 
     NULL or '' -> 0.0; ``MM:SS`` -> m + s/60; ``H:MM:SS`` -> 60h + m + s/60; a single number ->
     that number; anything else (``PT34M``, ``12:x``, ``1:2:3:4``) -> 0.0. Parts must be whole
-    numbers: an ANSI ``try_cast`` to long accepts exactly signed digits with surrounding
-    whitespace (no ``1.5``, no ``12x``), so no regex runs per part. ``get`` is used for parts,
-    so a short array never raises. A single whole number takes the same cast; only other single
-    numbers are checked by a pattern, since a double cast would also accept ``1d``, ``NaN`` and
-    ``Infinity``.
+    numbers (signed digits, surrounding whitespace allowed).
+
+    Each form is recognised by one anchored pattern over the whole text, so the casts that
+    follow only ever see valid input: a failing ANSI cast is far slower than a pattern test.
+    The first test is the common ``MM:SS`` form. ``get`` is used for parts, so a short array
+    never raises.
     """
     s = _c(c).cast("string")
     parts = F.split(s, ":")
-    n = F.size(parts)
 
     def part(i: int) -> Column:
         return F.get(parts, i).try_cast("long").cast("double")
 
-    p0, p1, p2 = part(0), part(1), part(2)
     sixty = F.lit(60.0)
     value = (
-        F.when((n == 2) & p0.isNotNull() & p1.isNotNull(), p0 + p1 / sixty)
-        .when((n == 3) & p0.isNotNull() & p1.isNotNull() & p2.isNotNull(),
-              p0 * sixty + p1 + p2 / sixty)
-        .when((n == 1) & p0.isNotNull(), p0)
-        .when((n == 1) & s.rlike(_NUM_RE), F.trim(s).try_cast("double"))
+        F.when(s.rlike(_TWO_RE), part(0) + part(1) / sixty)
+        .when(s.rlike(_THREE_RE), part(0) * sixty + part(1) + part(2) / sixty)
+        .when(s.rlike(_NUM_RE), F.trim(s).try_cast("double"))
     )
     return F.coalesce(value, F.lit(0.0))
 
