@@ -21,6 +21,7 @@ HEADLINE = (
     "latest_features_per_player",
     "rolling_rate_features",
     "rolling_lagged_features",
+    "rolling_rate_features_skewed",
     "opponent_position_averages",
     "with_opponent_averages",
     "daily_mean_by_group",

@@ -59,6 +59,17 @@ SELECT user_id, event_id, ts,
 FROM b1r
 """
 
+_SKEW_W = "PARTITION BY player ORDER BY ts ASC NULLS LAST, event_id ASC NULLS LAST"
+ROLLING_RATE_FEATURES_SKEWED = f"""
+WITH {_B1},
+sk AS (SELECT *, CASE WHEN user_id % 3 = 0 THEN -1 ELSE user_id END AS player FROM b1r)
+SELECT player, event_id, ts, value_per36, value_per_poss,
+  """ + ",\n  ".join(
+    f"{ordered_mean(c, n - 1, 0, _SKEW_W)} AS {c}_rolling_{n}" for c in _RATES for n in _WINDOWS
+) + """
+FROM sk
+"""
+
 LATEST_FEATURES_PER_PLAYER = f"""
 WITH {_B1},
 f AS (
@@ -478,6 +489,7 @@ ORACLE = {
     "rolling_rate_features": ROLLING_RATE_FEATURES,
     "latest_features_per_player": LATEST_FEATURES_PER_PLAYER,
     "rolling_lagged_features": ROLLING_LAGGED_FEATURES,
+    "rolling_rate_features_skewed": ROLLING_RATE_FEATURES_SKEWED,
     "daily_mean_by_group": DAILY_MEAN_BY_GROUP,
     "opponent_position_averages": OPPONENT_POSITION_AVERAGES,
     "with_opponent_averages": WITH_OPPONENT_AVERAGES,

@@ -64,6 +64,23 @@ def rolling_rate_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "event_id", "ts", *_b1_feature_cols())
 
 
+# Rows per window task before a player is split, for the skewed binding: low enough that the
+# hot player (a third of all events) is cut into chunks at every scale factor.
+SKEW_HOT_ROWS = 1_000
+
+
+def rolling_rate_features_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 under skew: the events of every third user belong to one player (a third of all rows
+    on one key). The hot player is split into date-range chunks with halos; the result equals
+    the unsplit window exactly."""
+    box = B.events_box(spark, sf_dir).withColumn(
+        "player", F.when(F.col("user_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+    out = feat.rate_and_rolling_features(box, stats=B1_STATS, extra_rate_stats=(),
+                                         player="player", order=B1_ORDER,
+                                         hot_rows=SKEW_HOT_ROWS)
+    return out.select("player", "event_id", "ts", *_b1_feature_cols())
+
+
 def latest_features_per_player(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C4 + W2 on B1 (the flagship): each player's latest row with its rolling means.
 
@@ -437,6 +454,7 @@ QUERIES = {
     "rolling_rate_features": rolling_rate_features,
     "latest_features_per_player": latest_features_per_player,
     "rolling_lagged_features": rolling_lagged_features,
+    "rolling_rate_features_skewed": rolling_rate_features_skewed,
     "daily_mean_by_group": daily_mean_by_group,
     "opponent_position_averages": opponent_position_averages,
     "with_opponent_averages": with_opponent_averages,
