@@ -42,10 +42,13 @@ def games_between(df: DataFrame, date_col: str, date: dt.date | str, days: int =
     start = dt.date.fromisoformat(date) if isinstance(date, str) else date
     end = start + dt.timedelta(days=days)
     col = F.col(date_col)
-    lo, hi = F.lit(start), F.lit(end)
-    if dict(df.dtypes)[date_col] in ("timestamp", "timestamp_ntz"):
-        lo = F.lit(dt.datetime.combine(start, dt.time())).cast(dict(df.dtypes)[date_col])
-        hi = F.lit(dt.datetime.combine(end, dt.time())).cast(dict(df.dtypes)[date_col])
+    kind = dict(df.dtypes)[date_col]
+    # Bounds as text cast to the column's type: no dependence on the driver's local zone.
+    if kind in ("timestamp", "timestamp_ntz"):
+        lo = F.lit(f"{start.isoformat()} 00:00:00").cast(kind)
+        hi = F.lit(f"{end.isoformat()} 00:00:00").cast(kind)
+    else:
+        lo, hi = F.lit(start.isoformat()).cast("date"), F.lit(end.isoformat()).cast("date")
     return df.filter((col >= lo) & (col < hi))
 
 
