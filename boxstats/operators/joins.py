@@ -6,20 +6,42 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A broadcast side must have at most this many rows, checked before the hint is given.
+# A broadcast side must fit in this many bytes (estimated from its schema) and rows; both are
+# checked before the hint is given.
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
+_FIXED_BYTES = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
+    T.TimestampNTZType: 8,
+}
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The count runs at most ``max_rows + 1`` rows deep. Use it on dimension tables read from
-    storage or on materialised (checkpointed) results, where counting is cheap. Beyond the bound
-    the join stays a shuffle join, which AQE may still turn into a broadcast at run time.
+def row_bytes(schema: T.StructType) -> int:
+    """Rough width of one row: fixed sizes, 20 bytes per string, 64 per nested value, plus
+    an 8-byte header per row."""
+    total = 8
+    for f in schema.fields:
+        total += _FIXED_BYTES.get(type(f.dataType), 20 if isinstance(f.dataType, T.StringType)
+                                  else 64)
+    return total
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Return ``broadcast(df)`` when ``df`` fits both bounds, else ``df`` unchanged.
+
+    The row bound is the tighter of ``max_rows`` and ``max_bytes / row width``; the count runs
+    at most one row past it. Use it on dimension tables read from storage or on materialised
+    (checkpointed) results, where counting is cheap. Beyond the bound the join stays a shuffle
+    join, which AQE may still turn into a broadcast at run time.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    limit = max(1, min(max_rows, max_bytes // row_bytes(df.schema)))
+    n = df.limit(limit + 1).count()
+    return F.broadcast(df) if n <= limit else df
 
 
 def new_columns_only(right: DataFrame, left: DataFrame | Iterable[str],
