@@ -26,9 +26,17 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(mapping)
 
 
+_DATE_START = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+
+
 def parse_datetimes(df: DataFrame, cols: Iterable[str], kind: str = "timestamp_ntz") -> DataFrame:
-    """P5: text to ``timestamp_ntz`` / ``date`` / ``timestamp``; unreadable text gives NULL."""
-    return df.withColumns({c: F.col(c).cast("string").try_cast(kind) for c in cols})
+    """P5: text to ``timestamp_ntz`` / ``date`` / ``timestamp``; unreadable text gives NULL.
+
+    Text that does not start like a date skips the cast: a failing ANSI cast is slow."""
+    def parse(c: str):
+        s = F.col(c).cast("string")
+        return F.when(s.rlike(_DATE_START), s.try_cast(kind))
+    return df.withColumns({c: parse(c) for c in cols})
 
 
 def fill_position(df: DataFrame, col: str = "position", value: str = BENCH_FILL) -> DataFrame:

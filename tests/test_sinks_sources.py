@@ -103,7 +103,9 @@ def test_quality_report(spark):
                                "k long, j long, s string")
     other = spark.createDataFrame([(1,), (2,)], "k2 long")
     rep = {(r.check, r.column): r.value
-           for r in quality_report(df, ["k", "j"], [("other", other, "k", "k2")]).collect()}
+           for r in quality_report(df, ["k", "j"], [("other", other, "k", "k2")],
+                                   checks={"k_is_j": F.col("k") == F.col("j")}).collect()}
+    assert rep[("violations", "k_is_j")] == 2
     assert rep[("rows", "")] == 4
     assert rep[("nulls", "s")] == 1 and rep[("nulls", "j")] == 1
     assert rep[("duplicate_keys", "")] == 1
