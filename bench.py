@@ -47,7 +47,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or list(HEADLINE)
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(cpus * 2, 8),
+    shuffle = int(os.environ.get("BENCH_SHUFFLE", str(max(cpus * 2, 8))))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=shuffle,
                           app_name="boxstats-bench",
                           extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
     times = {}
