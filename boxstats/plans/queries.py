@@ -28,7 +28,6 @@ from boxstats.model import points as M
 from boxstats.operators import inputs as INP
 from boxstats.session import scratch_dir
 from boxstats.sinks import writers as K
-from boxstats.sources import readers as RDR
 from boxstats.streaming.ingest import stream_ingest as run_stream_ingest
 from boxstats.sources.tables import table
 
@@ -442,10 +441,10 @@ def audit_and_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     stamped = K.with_audit(nation, dt.datetime(2024, 1, 1, 12, 0, 0))
     K.write_csv(stamped, f"{base}/csv")
-    back = RDR.load_table(spark, f"{base}/csv", stamped.schema, fmt="csv")
+    back = RD.load_table(spark, f"{base}/csv", stamped.schema, fmt="csv")
     K.write_truncate(back, f"{base}/parquet")
-    stored = RDR.load_or_empty(spark, f"{base}/parquet", stamped.schema)
-    empty = RDR.load_or_empty(spark, f"{base}/missing", stamped.schema)
+    stored = RD.load_or_empty(spark, f"{base}/parquet", stamped.schema)
+    empty = RD.load_or_empty(spark, f"{base}/missing", stamped.schema)
     K.commit_replace(spark, empty, f"{base}/parquet", ["n_nationkey"], "n_regionkey")
     return stored.unionByName(empty).select(*nation.columns)
 
