@@ -40,7 +40,9 @@ def stream_ingest(spark: SparkSession, landing_dir: str, schema: T.StructType,
     """Run the stream until the landed files are consumed; returns per-batch metrics.
 
     keys: replace key (all stored rows with a batch key are replaced); row_keys: identity of
-    one row (defaults to ``keys``)."""
+    one landed row (defaults to ``keys``). ``prepare`` runs on each micro-batch after it is
+    reduced to the latest landed copies, so it may join static tables (a schedule) and project
+    to the stored contract."""
     row_keys = list(row_keys or keys)
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
@@ -48,13 +50,13 @@ def stream_ingest(spark: SparkSession, landing_dir: str, schema: T.StructType,
     stream = reader.load(landing_dir).select(
         "*", F.col("_metadata.file_modification_time").alias(_LANDED),
         F.col("_metadata.file_path").alias(_FILE))
-    if prepare is not None:
-        stream = prepare(stream)
     metrics: list[dict] = []
 
     def commit(batch: DataFrame, epoch_id: int) -> None:
-        m = commit_replace(spark, latest_copy(batch, row_keys), target_path, keys,
-                           partition_col, audit=audit)
+        rows = latest_copy(batch, row_keys)
+        if prepare is not None:
+            rows = prepare(rows)
+        m = commit_replace(spark, rows, target_path, keys, partition_col, audit=audit)
         m["epoch"] = epoch_id
         metrics.append(m)
 
