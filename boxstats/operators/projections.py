@@ -12,8 +12,9 @@ from boxstats.functions.scalars import BENCH_FILL, finite_or_zero
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The contract columns in contract order and type; a missing column fails analysis."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """The contract columns in contract order and type; a missing column fails analysis.
+    A value that does not convert becomes NULL (``try_cast``), never an error."""
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def lower_columns(df: DataFrame) -> DataFrame:

@@ -94,8 +94,9 @@ def season_games(doc: DataFrame, keep: Sequence[str] = ("regular", "playoffs"))
     """Flat season schedule of regular-season and playoff games, 11 columns."""
     flat = flatten_games(doc).withColumn("game_id", normalise_game_id("game_id"))
     typed = with_game_type(flat, "game_id", keep)
-    return conform(typed.withColumn("game_date", F.to_date(F.col("game_date").cast("string"))),
-                   SC.SEASON_SCHEDULE)
+    # Unreadable dates become NULL (try_cast), never an error under ANSI.
+    return conform(typed.withColumn("game_date", F.col("game_date").cast("string")
+                                    .try_cast("date")), SC.SEASON_SCHEDULE)
 
 
 def read_payloads(spark: SparkSession, path: str, schema: T.StructType,

@@ -114,7 +114,8 @@ def season_document(path: str, finished_upto: int = 24) -> None:
                 "h": {"tid": home, "ta": f"T{home}"}, "v": {"tid": 3 - home, "ta": f"T{3-home}"}}
     month1 = {"mscd": {"g": [g(k, "3" if k <= finished_upto else "1") for k in range(1, 13)]}}
     month2 = {"mscd": {"g": [g(k, "3" if k <= finished_upto else "1") for k in range(13, 25)]
-              + [{**g(99, "3"), "gid": "0012400099"}]}}
+              + [{**g(99, "3"), "gid": "0012400099"},
+                 {**g(98, "1"), "gdte": "TBD"}]}}
     doc = {"lscd": [month1, {"other": 1}, {"mscd": {}}, month2]}
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w") as fh:
