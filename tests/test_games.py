@@ -51,3 +51,22 @@ def test_new_columns_only_and_row_bytes(spark):
     right = spark.createDataFrame([(1, 5, 6.0, "y")], "a long, b long, d double, c string")
     assert new_columns_only(right, left, ["a"]).columns == ["a", "d"]
     assert row_bytes(right.schema) == 8 + 8 + 8 + 8 + 20
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+IDS = st.sampled_from(["0022400001", "0022400002", "0042400003", "22400004", "abc", None])
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(IDS, max_size=6), st.lists(IDS, max_size=6))
+def test_new_games_partition_finals(spark, finals_ids, stored_ids):
+    finals = spark.createDataFrame([(g, "3") for g in finals_ids],
+                                   "game_id string, game_status string")
+    stored = spark.createDataFrame([(g,) for g in stored_ids], "gameId string")
+    new = [r.game_id for r in G.new_games(finals, stored).collect()]
+    norm = lambda g: ("00" + g) if g is not None and g.isdigit() and len(g) == 8 else g  # noqa
+    seen = {norm(g) for g in stored_ids if g is not None}
+    # J1 + stored finals = finals: every final is new exactly when its id is not stored.
+    assert sorted(map(str, new)) == sorted(str(g) for g in finals_ids if norm(g) not in seen)
