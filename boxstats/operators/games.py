@@ -64,7 +64,7 @@ def new_games(finals: DataFrame, stored: DataFrame | None, finals_key: str = "ga
     if stored is None:
         return keyed.drop("__gid")
     ids = bounded_broadcast(keyed.select("__gid").filter(F.col("__gid").isNotNull()).distinct(),
-                            max_broadcast_rows)
+                            max_broadcast_rows, derived=True)
     seen = (stored.select(normalise_game_id(stored_key).alias("__gid"))
             .join(ids, "__gid", "left_semi").distinct())
     return keyed.join(seen, "__gid", "left_anti").drop("__gid")
@@ -86,7 +86,7 @@ def player_games(games: DataFrame, roster_df: DataFrame, home: str = "homeTeam_t
     in one broadcast join, instead of two joins and a union. Adds ``opponent``,
     ``position_group``, ``is_home``, ``season`` and ``game_date``."""
     sides = games.withColumn(team, F.explode(F.array(F.col(home), F.col(away))))
-    small = bounded_broadcast(roster_df, max_broadcast_rows)
+    small = bounded_broadcast(roster_df, max_broadcast_rows, derived=True)
     joined = sides.join(small, team, "inner")
     return joined.withColumns({
         "opponent": opponent_of(team, home, away),

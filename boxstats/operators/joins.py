@@ -31,14 +31,20 @@ def row_bytes(schema: T.StructType) -> int:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                      derived: bool = False) -> DataFrame:
     """Return ``broadcast(df)`` when ``df`` fits both bounds, else ``df`` unchanged.
 
     The row bound is the tighter of ``max_rows`` and ``max_bytes / row width``; the count runs
-    at most one row past it. Use it on dimension tables read from storage or on materialised
-    (checkpointed) results, where counting is cheap. Beyond the bound the join stays a shuffle
-    join, which AQE may still turn into a broadcast at run time.
+    at most one row past it. For a dimension table read from storage the count is cheap. A
+    ``derived`` side (a distinct, an aggregate, a join result) is checkpointed first, so the
+    count and the join both read the small checkpoint instead of computing it twice from its
+    large sources. Beyond the bound the join stays a shuffle join, which AQE may still turn
+    into a broadcast at run time.
     """
+    if derived:
+        from boxstats.session import materialize
+        df = materialize(df)
     limit = max(1, min(max_rows, max_bytes // row_bytes(df.schema)))
     n = df.limit(limit + 1).count()
     return F.broadcast(df) if n <= limit else df
