@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Checkpoints of small derived tables are removed once their DataFrames are collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
