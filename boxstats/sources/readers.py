@@ -6,7 +6,6 @@ scan replaces the per-game fetch loop and its union), so the work spreads over a
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,12 +37,12 @@ def load_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path.replace("file:", "", 1))
+    """Whether ``path`` exists on its file system; a path without a scheme is resolved against
+    the cluster's default file system, as Spark's readers do."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    return bool(fs.exists(hpath))
 
 
 def load_or_empty(spark: SparkSession, path: str, schema: T.StructType,
