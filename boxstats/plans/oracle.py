@@ -485,6 +485,14 @@ FROM up JOIN latest ON up.person_id = latest.user_id
 STREAM_INGEST = "SELECT * FROM events"
 AUDIT_AND_WRITE = "SELECT * FROM nation"
 
+INCREMENTAL_INGEST_LINES = """
+SELECT l_orderkey AS game_id, l_linenumber, l_partkey, l_quantity, l_extendedprice,
+       o_orderdate AS game_date, o_custkey % 25 AS home_team_id,
+       (o_custkey + 7) % 25 AS away_team_id
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE o_orderstatus = 'F'
+"""
+
 ORACLE = {
     "rolling_rate_features": ROLLING_RATE_FEATURES,
     "latest_features_per_player": LATEST_FEATURES_PER_PLAYER,
@@ -516,4 +524,5 @@ ORACLE = {
     "prediction_inputs": PREDICTION_INPUTS,
     "stream_ingest": STREAM_INGEST,
     "audit_and_write": AUDIT_AND_WRITE,
+    "incremental_ingest_lines": INCREMENTAL_INGEST_LINES,
 }
