@@ -28,7 +28,11 @@ def _reader(spark: SparkSession, schema: T.StructType, fmt: str):
 
 def load_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str = "parquet") -> DataFrame:
-    """Scan a stored table (CSV with header, or parquet)."""
+    """Scan a stored table: CSV with header, parquet, or (``fmt="table"``) a catalog
+    table by name, projected to ``schema`` when one is given."""
+    if fmt == "table":
+        df = spark.table(path)
+        return df if schema is None else conform(df, schema)
     if schema is None:
         if fmt == "csv":
             raise ValueError("CSV tables need a schema: inference misreads ids and clocks")

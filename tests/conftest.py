@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,6 +14,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", shuffle_partitions=8, app_name="boxstats-tests")
+    warehouse = tempfile.mkdtemp(prefix="boxstats-warehouse-", dir="/tmp")
+    s = build_session("local[4]", shuffle_partitions=8, app_name="boxstats-tests",
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()

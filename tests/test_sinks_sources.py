@@ -110,3 +110,12 @@ def test_quality_report(spark):
     assert rep[("nulls", "s")] == 1 and rep[("nulls", "j")] == 1
     assert rep[("duplicate_keys", "")] == 1
     assert rep[("orphans", "other")] == 1
+
+
+def test_catalog_table_roundtrip(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "person_id long, player_slug string")
+    K.write_truncate(df, "boxstats_test_players", fmt="table")
+    back = RD.load_table(spark, "boxstats_test_players", fmt="table")
+    assert sorted(r.person_id for r in back.collect()) == [1, 2]
+    K.write_truncate(df.limit(1), "boxstats_test_players", fmt="table")
+    assert RD.load_table(spark, "boxstats_test_players", fmt="table").count() == 1
