@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxstats.llm import bpe, packing, token_count
+from boxstats.llm import bpe, packing, quality, token_count, url_filter
+from boxstats.llm.oracle import ORACLE  # noqa: F401
 from boxstats.sources.tables import table
 
 
@@ -24,5 +25,14 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_count, op4_packing, op5_bpe)}
-ORACLE: dict[str, str] = {}
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (url_filter.judge_urls(table(spark, sf_dir, "pages"))
+            .select("page_id", "host", "path", "rule", "verdict"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_count, op4_packing, op5_bpe, op9_url_filter,
+                                   op10_quality)}
