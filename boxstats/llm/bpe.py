@@ -120,7 +120,7 @@ class BytePairEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        return [b"".join(values) for values in self.cache.values(texts)]
+        return self.cache.combined(texts, b"".join)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))

@@ -33,55 +33,82 @@ class Queues:
 
     def __init__(self, part: int, quantum: int, sequence: int):
         self.part, self.quantum, self.sequence = part, quantum, sequence
-        self.open: dict[str, list] = {}         # source -> [packet, filled, pieces]
-        self.rows: list[tuple] = []
+        # source -> [packet, tokens in it, its pieces so far]
+        self.open: dict[str, list] = {}
+        self.columns: list[list] = [[] for _ in range(8)]
 
     def add(self, source: str, doc: int | None, ids: bytes) -> None:
-        total = len(ids) // 4
+        """Append a document to its source's queue; quanta that fill up are emitted. Whole quanta
+        inside the document need no piece list."""
+        total, quantum = len(ids) // 4, self.quantum
         queue = self.open.setdefault(source, [0, 0, []])
-        at = 0
-        while at < total:
-            take = min(self.quantum - queue[1], total - at)
-            queue[2].append((doc, at, ids[4 * at:4 * (at + take)], total))
-            queue[1] += take
-            at += take
-            if queue[1] == self.quantum:
-                self._emit(source, queue[0], queue[2])
-                queue[:] = [queue[0] + 1, 0, []]
+        packet, filled, pieces = queue
+        at, crc32 = 0, zlib.crc32
+        if filled:
+            at = min(quantum - filled, total)
+            pieces.append((doc, 0, ids[:4 * at], total))
+            filled += at
+            if filled < quantum:
+                queue[1] = filled
+                return
+            self._emit(source, packet, pieces)
+            packet += 1
+            queue[2] = pieces = []
+        n = (total - at) // quantum
+        if n:
+            step = 4 * quantum
+            starts = range(at, at + n * quantum, quantum)
+            names, packets, docs, begins, lengths, sums, totals, within = self.columns
+            names += [source] * n
+            packets += range(packet, packet + n)
+            docs += [doc] * n
+            begins += starts
+            lengths += [quantum] * n
+            sums += [crc32(ids[4 * s:4 * s + step]) for s in starts]
+            totals += [total] * n
+            within += [0] * n
+            at += n * quantum
+        if at < total:
+            pieces.append((doc, at, ids[4 * at:], total))
+        queue[0], queue[1] = packet + n, total - at
 
     def _emit(self, source: str | None, packet: int, pieces: list[tuple]) -> None:
-        within = 0
+        before = 0
         for doc, start, ids, total in pieces:
             n = len(ids) // 4
-            self.rows.append((self.part, source, packet, doc, start, n, zlib.crc32(ids), total,
-                              within))
-            within += n
+            for column, value in zip(self.columns, (source, packet, doc, start, n,
+                                                    zlib.crc32(ids), total, before)):
+                column.append(value)
+            before += n
 
     def close(self) -> None:
         """What is left in the open quanta (less than a quantum a source) goes, source after
         source, into whole sequences; the last tokens into sequences of a power of two."""
         rest = [piece for source in sorted(self.open) for piece in self.open[source][2]]
         left, packet = sum(len(piece[2]) // 4 for piece in rest), 0
+        rest.reverse()
         while left:
             size = self.sequence if left >= self.sequence else 1 << left.bit_length() - 1
             pieces, room = [], size
             while room:
-                doc, start, ids, total = rest.pop(0)
+                doc, start, ids, total = rest.pop()
                 take = min(room, len(ids) // 4)
                 pieces.append((doc, start, ids[:4 * take], total))
                 if len(ids) > 4 * take:
-                    rest.insert(0, (doc, start + take, ids[4 * take:], total))
+                    rest.append((doc, start + take, ids[4 * take:], total))
                 room -= take
             self._emit(None, packet, pieces)
             packet, left = packet + 1, left - size
 
     def batch(self) -> pa.RecordBatch:
-        columns = list(zip(*self.rows)) or [[]] * 9
-        self.rows = []
-        kinds = [pa.int32(), pa.string()] + [pa.int64()] * 7
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)],
+        n = len(self.columns[0])
+        kinds = [pa.string()] + [pa.int64()] * 7
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, self.part, np.int32))]
+            + [pa.array(c, k) for c, k in zip(self.columns, kinds)],
             names=[c.split()[0] for c in PIECES.split(", ")])
+        self.columns = [[] for _ in range(8)]
+        return out
 
 
 def turns(packet: np.ndarray, source: np.ndarray, totals: list[int]) -> np.ndarray:
@@ -123,8 +150,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             ids, texts, sources = (c.to_pylist() for c in batch.columns)
             texts = [t or "" for t in texts]
             for group in by_bytes(texts, 1 << 20):
-                for i, values in zip(group, cache.values([texts[i] for i in group])):
-                    queues.add(sources[i], ids[i], b"".join(values) + end)
+                coded = cache.combined([texts[i] for i in group], b"".join)
+                for i, tokens in zip(group, coded):
+                    queues.add(sources[i], ids[i], tokens + end)
                 yield queues.batch()
         queues.close()
         yield queues.batch()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxstats.llm import bpe, packing, quality, token_count, url_filter
+from boxstats.llm import bpe, near_dup, packing, quality, token_count, url_filter
 from boxstats.llm.oracle import ORACLE  # noqa: F401
 from boxstats.sources.tables import table
 
@@ -14,6 +14,10 @@ def op1_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -34,5 +38,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_count, op4_packing, op5_bpe, op9_url_filter,
+QUERIES = {f.__name__: f for f in (op1_token_count, op2_near_dup, op4_packing, op5_bpe, op9_url_filter,
                                    op10_quality)}

@@ -21,7 +21,7 @@ def sentence_counts(path: str):
 
 def piece_counts(path: str):
     cache = count_cache(path)
-    return lambda texts: [sum(values) for values in cache.values(texts)]
+    return lambda texts: cache.combined(texts, sum)
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

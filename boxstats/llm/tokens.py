@@ -29,29 +29,33 @@ class PieceCache:
         self.split = re.compile(SAFE).findall
         self.encode, self.limit, self.known = encode, limit, {}
 
-    def values(self, texts: list[str]) -> list[list]:
-        """For each text the values of its pieces in order. Each piece is looked up once; those
-        not known yet are encoded together."""
-        known = self.known
-        found, holes = [], []
+    def combined(self, texts: list[str], combine: Callable[[list], object]) -> list:
+        """For each text ``combine`` of its pieces' values in order. Each piece is looked up once;
+        a text with pieces not known yet (``combine`` raises TypeError on their None) waits until
+        those of all texts are encoded together."""
+        known, split = self.known.get, self.split
+        out, holes = [], []
         missing: dict[str, None] = {}
         for text in texts:
-            pieces = self.split(text)
-            got = list(map(known.get, pieces))
-            if None in got:
+            pieces = split(text)
+            got = list(map(known, pieces))
+            try:
+                out.append(combine(got))
+            except TypeError:
                 at = [i for i, v in enumerate(got) if v is None]
                 missing.update(dict.fromkeys([pieces[i] for i in at]))
-                holes.append((got, pieces, at))
-            found.append(got)
+                holes.append((len(out), got, pieces, at))
+                out.append(None)
         if missing:
             new = dict(zip(missing, self.encode(list(missing)), strict=True))
-            for got, pieces, at in holes:
+            for place, got, pieces, at in holes:
                 for i in at:
                     got[i] = new[pieces[i]]
-            if len(known) + len(new) > self.limit:
-                known.clear()
-            known.update(new)
-        return found
+                out[place] = combine(got)
+            if len(self.known) + len(new) > self.limit:
+                self.known.clear()
+            self.known.update(new)
+        return out
 
 
 def library_tokenizer(path: str):
