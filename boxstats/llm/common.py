@@ -33,7 +33,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     lineage that survives lost executors and keeps column pruning and statistics."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

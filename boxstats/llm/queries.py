@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxstats.llm import bpe, near_dup, packing, quality, token_count, url_filter
+from boxstats.llm import bpe, near_dup, packing, quality, substring, token_count, url_filter
 from boxstats.llm.oracle import ORACLE  # noqa: F401
 from boxstats.sources.tables import table
 
@@ -29,6 +29,12 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring.dedup_substrings(table(spark, sf_dir, "documents"))
+    kept = F.concat_ws(" ", quality.words(F.col("kept_text")))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (url_filter.judge_urls(table(spark, sf_dir, "pages"))
             .select("page_id", "host", "path", "rule", "verdict"))
@@ -38,5 +44,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_count, op2_near_dup, op4_packing, op5_bpe, op9_url_filter,
+QUERIES = {f.__name__: f for f in (op1_token_count, op2_near_dup, op4_packing, op5_bpe, op6_substring, op9_url_filter,
                                    op10_quality)}
