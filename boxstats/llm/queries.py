@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxstats.llm import bpe, near_dup, packing, quality, substring, token_count, url_filter
+from boxstats.llm import (bpe, lang_id, near_dup, packing, quality, substring, token_count,
+                           toxicity, url_filter)
 from boxstats.llm.oracle import ORACLE  # noqa: F401
 from boxstats.sources.tables import table
 
@@ -18,6 +19,17 @@ def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def language_model(docs: DataFrame) -> dict:
+    """Fitted on the rows outside the held-out fold."""
+    return lang_id.fit(docs.where(~lang_id.held_out()))
+
+
+def op3_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = lang_id.identify(docs, language_model(docs))
+    return found.select("doc_id", lang_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -35,6 +47,14 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (url_filter.judge_urls(table(spark, sf_dir, "pages"))
             .select("page_id", "host", "path", "rule", "verdict"))
@@ -44,5 +64,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_count, op2_near_dup, op4_packing, op5_bpe, op6_substring, op9_url_filter,
+QUERIES = {f.__name__: f for f in (op1_token_count, op2_near_dup, op3_lang_id, op4_packing, op5_bpe, op6_substring, op7_toxicity, op9_url_filter,
                                    op10_quality)}

@@ -25,8 +25,9 @@ CACHE_PIECES = 1_000_000
 class PieceCache:
     """piece -> value (a count, or ids as bytes), filled by ``encode`` in batches."""
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = CACHE_PIECES):
-        self.split = re.compile(SAFE).findall
+    def __init__(self, encode: Callable[[list[str]], list], limit: int = CACHE_PIECES,
+                 split: Callable[[str], list[str]] = re.compile(SAFE).findall):
+        self.split = split
         self.encode, self.limit, self.known = encode, limit, {}
 
     def combined(self, texts: list[str], combine: Callable[[list], object]) -> list:
