@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxstats.llm import (bpe, lang_id, near_dup, packing, quality, substring, token_count,
+from boxstats.llm import (ann, bpe, lang_id, near_dup, packing, quality, substring, token_count,
                            toxicity, url_filter)
 from boxstats.llm.oracle import ORACLE  # noqa: F401
 from boxstats.sources.tables import table
@@ -55,6 +55,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (url_filter.judge_urls(table(spark, sf_dir, "pages"))
             .select("page_id", "host", "path", "rule", "verdict"))
@@ -64,5 +68,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_count, op2_near_dup, op3_lang_id, op4_packing, op5_bpe, op6_substring, op7_toxicity, op9_url_filter,
+QUERIES = {f.__name__: f for f in (op1_token_count, op2_near_dup, op3_lang_id, op4_packing, op5_bpe, op6_substring, op7_toxicity, op8_ann, op9_url_filter,
                                    op10_quality)}
