@@ -15,6 +15,8 @@ from boxstats.session import ensure_checkpoint_dir
 
 # The ASCII white space that separates words in the contracts: space and 0x09-0x0D.
 SPACE = " \t\n\x0b\x0c\r"
+# A side of ids or keys (8 to 16 bytes a row) is broadcast only up to this many rows.
+BROADCAST_ROWS = 1_000_000
 MULTIPLIER = 0x9E3779B97F4A7C15          # odd, so it has an inverse modulo 2**64
 
 
@@ -37,10 +39,22 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def documents_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only the id (long) and the text, so further columns, whatever their names, cannot clash."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).cast("string").alias("text"))
+def small(side: DataFrame) -> DataFrame:
+    """``side`` (a saved table of ids or keys), as a broadcast if its counted rows are few enough;
+    beyond that the join shuffles."""
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+
+
+def documents_of(docs: DataFrame, id_col: str, text_col: str,
+                 carry: tuple[str, ...] | None = None) -> DataFrame:
+    """Only the id (long) and the text, so further columns, whatever their names, cannot clash.
+    With ``carry``, also a struct ``carried`` of those columns (of a constant for none)."""
+    columns = [F.col(id_col).cast("long").alias("doc_id"),
+               F.col(text_col).cast("string").alias("text")]
+    if carry is not None:
+        columns.append(F.struct(*[F.col(c) for c in carry] or [F.lit(0).alias("nothing")])
+                       .alias("carried"))
+    return docs.select(*columns)
 
 
 def by_bytes(texts: Iterable[str], most: int) -> Iterator[list[int]]:

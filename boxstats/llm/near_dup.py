@@ -22,13 +22,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxstats.llm.common import documents_of, saved, window_hashes, word_hashes, words_of
+from boxstats.llm.common import (documents_of, saved, small, window_hashes, word_hashes,
+                                 words_of)
 from boxstats.llm.components import connected_components
 
-# A side of ids or keys (8 to 16 bytes a row) is broadcast only up to this many rows.
-BROADCAST_ROWS = 1_000_000
-
-
 def shingles(text: str | None, width: int = 5) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the windows of ``width`` words (A-Z lower-cased); fewer
     words form one window; no words, no windows."""
@@ -80,12 +77,6 @@ def signatures(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
                                 "keys array<long>")
 
 
-def small(side: DataFrame) -> DataFrame:
-    """``side`` (a saved table of ids or keys), as a broadcast if its counted rows are few enough;
-    beyond that the join shuffles."""
-    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
-
-
 def equal_coordinates(a: Column, b: Column, coordinates: int) -> Column:
     return reduce(add, [(F.get(a, F.lit(i)) == F.get(b, F.lit(i))).cast("int")
                         for i in range(coordinates)])

@@ -70,11 +70,21 @@ def base_columns(text: Column) -> dict[str, Column]:
     }
 
 
+def normal_line(line: Column) -> Column:
+    """Its lower-cased words, joined by one space."""
+    return F.lower(F.regexp_replace(F.btrim(line, F.lit(SPACE)), GAPS, " "))
+
+
+def without_lines(text: Column, hashes: Column) -> Column:
+    """The text without the lines whose normal form has one of the hashes."""
+    return let(hashes, lambda f: F.array_join(F.filter(
+        F.split(text, "\n"), lambda x: ~F.array_contains(f, F.xxhash64(normal_line(x)))), "\n"))
+
+
 def line_structs(text: Column) -> Column:
-    """For each line with a word: hash of its lower-cased words joined by one space, their count."""
+    """For each line with a word: hash of its normal form, number of its words."""
     def line(x: Column) -> Column:
-        inner = F.lower(F.regexp_replace(F.btrim(x, F.lit(SPACE)), GAPS, " "))
-        return let(inner, lambda t: F.struct(
+        return let(normal_line(x), lambda t: F.struct(
             F.xxhash64(t).alias("h"),
             (F.length(t) - F.length(F.translate(t, " ", "")) + 1).alias("n")))
     kept = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"),
@@ -85,8 +95,9 @@ def line_structs(text: Column) -> Column:
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             host_col: str = "source", min_words: int = 10, max_repeat_percent: int = 20,
             min_documents: int = 20, max_percent: int = 5,
-            min_left_percent: int = 20) -> DataFrame:
-    """doc_id, the base measures, base_failed, n_removed_words, kept: one row per input row.
+            min_left_percent: int = 20, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the base measures, base_failed, n_removed_words, kept: one row per input row. With
+    ``carry``, also clean_text (without the removed lines) and those columns as a struct carried.
 
     A line is boilerplate if, in its host, more than ``min_documents`` different texts and more
     than ``max_percent`` % of all different texts have it (copies of a text count once). Its words
@@ -99,10 +110,10 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bounds the list joined back per host.
     """
     text = F.col("text")
+    host = F.coalesce(F.col(host_col).cast("string"), F.lit("\x00"))
+    extra = [F.struct(*carry).alias("carried")] if carry else []
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                         F.col(text_col).cast("string").alias("text"),
-                         F.coalesce(F.col(host_col).cast("string"), F.lit("\x00"))
-                         .alias("host"))
+                         F.col(text_col).cast("string").alias("text"), host.alias("host"), *extra)
     texts = source.select("host", F.xxhash64("text").alias("t"), line_structs(text).alias("lines"))
     per_host = (texts.select("host", "t").distinct().groupBy("host")
                 .agg(F.count("*").alias("n_texts")))
@@ -114,7 +125,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 .where(F.col("n") * 100 > F.col("n_texts") * max_percent)
                 .groupBy("host").agg(F.collect_list("h").alias("frequent")))
     measured = source.select("doc_id", "host", line_structs(text).alias("lines"),
-                             *[c.alias(n) for n, c in base_columns(text).items()])
+                             *[c.alias(n) for n, c in base_columns(text).items()],
+                             *(["text", "carried"] if carry else []))
     joined = measured.join(frequent, "host", "left")
     removed = F.coalesce(let(F.col("frequent"), lambda f: total(F.transform(F.filter(
         F.col("lines"), lambda x: F.array_contains(f, x["h"])), lambda x: x["n"].cast("long")))),
@@ -123,7 +135,10 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent))
     left = F.col("n_words") - F.col("n_removed_words")
     depleted = (left < min_words) | (left * 100 < F.col("n_words") * min_left_percent)
+    clean = [F.when(F.col("n_removed_words") == 0, F.col("text")).otherwise(
+        without_lines(F.col("text"), F.col("frequent"))).alias("clean_text"),
+        "carried"] if carry else []
     return (joined.withColumn("n_removed_words", removed)
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                     "n_repeat_words", failed.alias("base_failed"), "n_removed_words",
-                    (~failed & ~depleted).alias("kept")))
+                    (~failed & ~depleted).alias("kept"), *clean))
