@@ -9,7 +9,8 @@ signatures; pairs above the match threshold are confirmed on the full shingle se
 
 No list is ever expanded into all its pairs: first every member is paired with the list's smallest
 id, and the confirmed links are closed into components; then only members that are still in
-different components are paired.
+different components are paired, once over all their lists, and in long lists only where sketches
+of the sets (the whole sets of short texts) are similar too.
 """
 
 from __future__ import annotations
@@ -43,14 +44,14 @@ def multipliers(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(hashes: np.ndarray, multiply: np.ndarray, plus: np.ndarray) -> np.ndarray:
-    """Minimum of each coordinate's 32-bit hash, in blocks, so memory does not grow with the text;
-    the coordinate's number in the low bits makes a value a key of its own."""
+    """Minimum of each coordinate's 32-bit hash, in blocks, so memory does not grow with the
+    text."""
     least = np.full(len(multiply), np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
         for i in range(0, len(hashes), 4096):
             block = hashes[i:i + 4096, None] * multiply + plus
             np.minimum(least, (block >> np.uint64(32)).min(axis=0), out=least)
-    return (least.astype(np.int64) << 8) | np.arange(len(multiply))
+    return least.astype(np.uint32).view(np.int32)
 
 
 def signatures(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
@@ -70,16 +71,58 @@ def signatures(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
                 keys.append(signature(found, multiply, plus) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
-                 pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                 pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int32()))],
                 names=["doc_id", "n_shingles", "h1", "h2", "keys"])
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, "
-                                "keys array<long>")
+                                "keys array<int>")
 
 
-def equal_coordinates(a: Column, b: Column, coordinates: int) -> Column:
-    return reduce(add, [(F.get(a, F.lit(i)) == F.get(b, F.lit(i))).cast("int")
-                        for i in range(coordinates)])
+def equal_at(i: int) -> Column:
+    return F.get("keys_a", F.lit(i)) == F.get("keys_b", F.lit(i))
+
+
+def agreeing(coordinates: int) -> Column:
+    """How many coordinates of the signatures keys_a and keys_b are equal."""
+    return reduce(add, [equal_at(i).cast("int") for i in range(coordinates)])
+
+
+def first_common(coordinates: int, in_long: bool) -> Column:
+    """The first equal coordinate whose posting list is long (or is not): the one list of that
+    kind in which the pair is formed."""
+    out = F.when(F.lit(False), F.lit(0))
+    for i in range(coordinates):
+        bit = F.col("long_a").bitwiseAND(F.lit((1 << i) - (1 << 64) * (i == 63))) != 0
+        out = out.when(equal_at(i) & (bit if in_long else ~bit), F.lit(i))
+    return out
+
+
+def sketches(docs: DataFrame, ids: DataFrame, width: int, size: int) -> DataFrame:
+    """id, sketch: the ``size`` smallest shingle hashes, which is the whole set of a short text."""
+    def run(batches):
+        for batch in batches:
+            found = [(shingles(t, width) >> np.uint64(16)).astype(np.int64)[:size]
+                     for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "sketch"])
+
+    return (docs.join(small(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+            .mapInArrow(run, "id long, sketch array<long>"))
+
+
+def sketch_similar(percent: int, size: int) -> Column:
+    """Exact where both sketches are whole sets; else the similarity of the parts below the
+    smaller end, at 10 points less (four standard errors of 256 samples)."""
+    cut_a, cut_b = (F.when(F.col(f"n_{x}") > size, F.element_at(f"sketch_{x}", -1)) for x in "ab")
+    cut = F.coalesce(F.least(cut_a, cut_b), F.lit((1 << 63) - 1))
+
+    def below(x: str) -> Column:
+        return F.when(F.element_at(f"sketch_{x}", -1) <= cut, F.size(f"sketch_{x}")).otherwise(
+            F.size(F.filter(f"sketch_{x}", lambda v: v <= cut)))
+    both = F.size(F.array_intersect("sketch_a", "sketch_b"))
+    least = F.when((F.col("n_a") <= size) & (F.col("n_b") <= size), percent).otherwise(
+        percent - 10)
+    return both * 100 >= (below("a") + below("b") - both) * least
 
 
 def like_sizes(a: str, b: str, percent: int) -> Column:
@@ -121,7 +164,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = 5, percent: int = 75, coordinates: int = 64,
-                    matches: int = 36, long_list: int = 32) -> DataFrame:
+                    matches: int = 36, long_list: int = 32, sketch: int = 256) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per input row.
 
     Documents are linked when 100 * intersection >= ``percent`` * union of their sets of ``width``
@@ -140,28 +183,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one = classes.groupBy("rep").agg(F.max(F.struct("n_shingles", "keys")).alias("s"))
     one = saved(one.select(F.col("rep").alias("doc"), F.col("s.n_shingles").alias("n"),
                            F.col("s.keys").alias("keys")), "reps")
+    if coordinates > 64:
+        raise ValueError("at most 64 coordinates")
 
     # Long posting lists, and for each document which of its coordinates lie in them.
-    posted = one.select("doc", F.explode("keys").alias("key"))
+    coded = F.transform("keys", lambda v, i: v.cast("long") * 256 + i)
+    posted = one.select("doc", F.explode(coded).alias("key"))
     long_keys = saved(posted.groupBy("key").agg(F.count("*").alias("n"))
                       .where(F.col("n") > long_list).select("key"), "long-lists")
     in_long = (posted.join(small(long_keys), "key").groupBy("doc")
-               .agg(F.collect_set("key").alias("long")))
+               .agg(F.collect_set("key").alias("long_keys")))
     prefix = coordinates - matches + 1
-    last = F.coalesce(F.col("long"), F.array().cast("array<long>"))
-    ordered = F.concat(F.array_except("keys", last), F.array_intersect("keys", last))
-    postings = saved(one.join(in_long, "doc", "left")
-                     .select("doc", F.explode(F.slice(ordered, 1, prefix)).alias("key")),
-                     "postings")
-
-    signed = one.select("doc", "n", "keys")
+    last = F.coalesce(F.col("long_keys"), F.array().cast("array<long>"))
+    bits = F.aggregate(last, F.lit(0).cast("long"), lambda m, k: m.bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(255)).cast("int"))))
+    signed = saved(one.join(in_long, "doc", "left").select("doc", "n", "keys", bits.alias("long")),
+                   "signed")
+    pieces = F.transform(coded, lambda k, i: F.struct(
+        k.alias("key"), (F.call_function("shiftright", F.col("long"), i).bitwiseAND(F.lit(1)) == 1)
+        .alias("in_long")))
+    ordered = F.concat(F.filter(pieces, lambda x: ~x["in_long"]),
+                       F.filter(pieces, lambda x: x["in_long"]))
+    postings = saved(signed.select("doc", F.explode(F.slice(ordered, 1, prefix)).alias("at"))
+                     .select("doc", "at.key", "at.in_long"), "postings")
+
+    def side(x: str, table: DataFrame, *columns: str) -> DataFrame:
+        return table.select(*[F.col(c).alias(f"{c}_{x}") for c in columns])
 
     def matching(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose sizes fit and whose signatures agree often enough."""
-        a, b = (signed.select(F.col("doc").alias(x), F.col("n").alias(f"n_{x}"),
-                              F.col("keys").alias(f"k_{x}")) for x in "ab")
-        agree = equal_coordinates(F.col("k_a"), F.col("k_b"), coordinates) >= matches
-        return (pairs.join(a, "a").join(b, "b").where(like_sizes("n_a", "n_b", percent) & agree)
+        a, b = (side(x, signed, "doc", "n", "keys") for x in "ab")
+        return (pairs.join(a, pairs.a == a.doc_a).join(b, pairs.b == b.doc_b)
+                .where(like_sizes("n_a", "n_b", percent) & (agreeing(coordinates) >= matches))
                 .select("a", "b"))
 
     heads = saved(postings.groupBy("key").agg(F.min("doc").alias("head"), F.count("*").alias("n"))
@@ -175,19 +228,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # What the stars left open: lists whose members are still in different components.
     labelled = (postings.join(heads.select("key"), "key", "left_semi")
                 .join(label, F.col("doc") == F.col("node"), "left")
-                .select("key", "doc", F.coalesce("component", "doc").alias("label")))
+                .select("key", "in_long", "doc", F.coalesce("component", "doc").alias("label")))
     labelled = saved(labelled, "labelled")
     open_keys = (labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m"))
                  .where("l <> m").select("key"))
-    rest = saved(labelled.join(open_keys, "key", "left_semi").join(signed, "doc"), "open")
-    a, b = (rest.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("doc", "label", "n",
-                                                                      "keys")]) for x in "ab")
-    crossing = (a.join(b, (a.key == b.key) & (F.col("label_a") < F.col("label_b"))
-                       & like_sizes("n_a", "n_b", percent)
-                       & (equal_coordinates(F.col("keys_a"), F.col("keys_b"), coordinates)
-                          >= matches))
-                .select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct())
-    more = saved(confirmed(saved(crossing, "open-pairs"), source, width, percent), "links")
+    rest = saved(labelled.join(open_keys, "key", "left_semi"), "open")
+
+    def crossing(lists: DataFrame, in_long: bool, *more: str) -> DataFrame:
+        columns = ("key", "doc", "label", "n", "keys", "long", *more)
+        a, b = (side(x, lists, *columns) for x in "ab")
+        once = (F.col("key_a").bitwiseAND(F.lit(255)) == first_common(coordinates, in_long))
+        test = ((F.col("key_a") == F.col("key_b")) & (F.col("label_a") < F.col("label_b"))
+                & like_sizes("n_a", "n_b", percent) & (agreeing(coordinates) >= matches) & once)
+        if more:
+            test = test & sketch_similar(percent, sketch)
+        return a.join(b, test).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
+
+    short = crossing(rest.where("NOT in_long").join(signed, "doc"), False)
+    crowd = saved(rest.where("in_long"), "open-long")
+    ids_in_crowd = saved(crowd.select(F.col("doc").alias("doc_id")).distinct(), "ids")
+    drawn = saved(sketches(source, ids_in_crowd, width, sketch), "sketches")
+    crowded = crossing(crowd.join(signed, "doc").join(drawn, F.col("doc") == F.col("id")), True,
+                       "sketch")
+    crossing_pairs = saved(short.unionByName(crowded).distinct(), "open-pairs")
+    more = saved(confirmed(crossing_pairs, source, width, percent), "links")
     component = label
     if not more.isEmpty():
         component = saved(connected_components(links.union(more), "a", "b"), "labels")
