@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxstats.llm.common import SPACE
+from boxstats.llm.common import SPACE, saved
 
 GAPS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -114,7 +114,12 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     extra = [F.struct(*carry).alias("carried")] if carry else []
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.col(text_col).cast("string").alias("text"), host.alias("host"), *extra)
-    texts = source.select("host", F.xxhash64("text").alias("t"), line_structs(text).alias("lines"))
+    # Measured once: the lines feed the counts and the verdicts. No text unless it is carried.
+    measured = saved(source.select(
+        "doc_id", "host", F.xxhash64("text").alias("t"), line_structs(text).alias("lines"),
+        *[c.alias(n) for n, c in base_columns(text).items()],
+        *(["text", "carried"] if carry else [])), "measures")
+    texts = measured.select("host", "t", "lines")
     per_host = (texts.select("host", "t").distinct().groupBy("host")
                 .agg(F.count("*").alias("n_texts")))
     counted = (texts.select("host", "t", F.explode("lines").alias("line"))
@@ -124,9 +129,6 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     frequent = (counted.join(per_host, "host")
                 .where(F.col("n") * 100 > F.col("n_texts") * max_percent)
                 .groupBy("host").agg(F.collect_list("h").alias("frequent")))
-    measured = source.select("doc_id", "host", line_structs(text).alias("lines"),
-                             *[c.alias(n) for n, c in base_columns(text).items()],
-                             *(["text", "carried"] if carry else []))
     joined = measured.join(frequent, "host", "left")
     removed = F.coalesce(let(F.col("frequent"), lambda f: total(F.transform(F.filter(
         F.col("lines"), lambda x: F.array_contains(f, x["h"])), lambda x: x["n"].cast("long")))),
