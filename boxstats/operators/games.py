@@ -13,7 +13,7 @@ from boxstats.functions.scalars import (
     FINISHED_STATUS, is_home, is_playoffs, is_regular_season, normalise_game_id, opponent_of,
     roster_group, season_of,
 )
-from boxstats.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from boxstats.operators.joins import bounded_broadcast
 
 
 def with_game_type(df: DataFrame, game_id: str = "game_id",
@@ -53,8 +53,7 @@ def games_between(df: DataFrame, date_col: str, date: dt.date | str, days: int =
 
 
 def new_games(finals: DataFrame, stored: DataFrame | None, finals_key: str = "game_id",
-              stored_key: str = "gameId",
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              stored_key: str = "gameId") -> DataFrame:
     """J1 + A5: finished games whose (normalised) id is not in the stored table.
 
     The stored table is large, the schedule small: stored ids are first cut to the schedule's
@@ -63,8 +62,7 @@ def new_games(finals: DataFrame, stored: DataFrame | None, finals_key: str = "ga
     keyed = finals.withColumn("__gid", normalise_game_id(finals_key))
     if stored is None:
         return keyed.drop("__gid")
-    ids = bounded_broadcast(keyed.select("__gid").filter(F.col("__gid").isNotNull()).distinct(),
-                            max_broadcast_rows, derived=True)
+    ids = bounded_broadcast(keyed.select("__gid").filter(F.col("__gid").isNotNull()).distinct(), derived=True)
     seen = (stored.select(normalise_game_id(stored_key).alias("__gid"))
             .join(ids, "__gid", "left_semi").distinct())
     return keyed.join(seen, "__gid", "left_anti").drop("__gid")
@@ -78,15 +76,14 @@ def roster(players: DataFrame, cols: Sequence[str] = ("person_id", "player_slug"
 
 def player_games(games: DataFrame, roster_df: DataFrame, home: str = "homeTeam_teamId",
                  away: str = "awayTeam_teamId", team: str = "team_id",
-                 game_id: str = "gameId", game_date: str = "gameDate",
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 game_id: str = "gameId", game_date: str = "gameDate") -> DataFrame:
     """J3 + U1 + I5 + I7 + I8 + I2 (C1 without the date filter).
 
     Each game becomes two rows (home team, away team) by one ``explode`` and meets the roster
     in one broadcast join, instead of two joins and a union. Adds ``opponent``,
     ``position_group``, ``is_home``, ``season`` and ``game_date``."""
     sides = games.withColumn(team, F.explode(F.array(F.col(home), F.col(away))))
-    small = bounded_broadcast(roster_df, max_broadcast_rows, derived=True)
+    small = bounded_broadcast(roster_df, derived=True)
     joined = sides.join(small, team, "inner")
     return joined.withColumns({
         "opponent": opponent_of(team, home, away),

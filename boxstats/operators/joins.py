@@ -6,48 +6,34 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# A broadcast side must fit in this many bytes (estimated from its schema) and rows; both are
-# checked before the hint is given.
-DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-_FIXED_BYTES = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
-    T.TimestampNTZType: 8,
-}
-
-
-def row_bytes(schema: T.StructType) -> int:
-    """Rough width of one row: fixed sizes, 20 bytes per string, 64 per nested value, plus
-    an 8-byte header per row."""
-    total = 8
-    for f in schema.fields:
-        total += _FIXED_BYTES.get(type(f.dataType), 20 if isinstance(f.dataType, T.StringType)
-                                  else 64)
-    return total
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                      derived: bool = False) -> DataFrame:
-    """Return ``broadcast(df)`` when ``df`` fits both bounds, else ``df`` unchanged.
-
-    The row bound is the tighter of ``max_rows`` and ``max_bytes / row width``; the count runs
-    at most one row past it. For a dimension table read from storage the count is cheap. A
-    ``derived`` side (a distinct, an aggregate, a join result) is checkpointed first, so the
-    count and the join both read the small checkpoint instead of computing it twice from its
-    large sources. Beyond the bound the join stays a shuffle join, which AQE may still turn
-    into a broadcast at run time.
-    """
+
+# A broadcast side must fit in this many bytes and rows; both are measured before the hint.
+BROADCAST_BYTES = 256 * 1024 * 1024
+BROADCAST_ROWS = 2_000_000
+
+
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a table by one aggregate with map-side partial sums: the text form's
+    length of every value plus 16 bytes a value and a row."""
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16
+                 for c in df.columns), F.lit(16))
+    row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width.cast("long")), F.lit(0))
+                 .alias("b")).first()
+    return row.n, row.b
+
+
+def bounded_broadcast(df: DataFrame, derived: bool = False) -> DataFrame:
+    """``broadcast(df)`` when its measured rows and bytes fit the bounds, else ``df`` unchanged.
+
+    A ``derived`` side (a distinct, an aggregate, a join result) is checkpointed first, so the
+    measurement and the join both read the small checkpoint instead of computing it twice from
+    its large sources. Beyond the bounds the join stays a shuffle join, whose skewed partitions
+    AQE splits; the result is the same."""
     if derived:
         from boxstats.session import materialize
         df = materialize(df)
-    limit = max(1, min(max_rows, max_bytes // row_bytes(df.schema)))
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+    rows, size = measured_size(df)
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
 def new_columns_only(right: DataFrame, left: DataFrame | Iterable[str],

@@ -47,10 +47,12 @@ def quality_report(df: DataFrame, keys: Sequence[str],
         F.coalesce(F.get(parts, 1), F.lit("")).alias("column"),
         F.col("value").cast("long").alias("value"))
     for name, other, key, other_key in relations:
+        # One row per key and map task is shuffled, so a hot key costs nothing.
         right = other.select(F.col(other_key).alias("__ok")).filter(F.col("__ok").isNotNull())
         orphans = (df.select(F.col(key).alias("__ok")).filter(F.col("__ok").isNotNull())
+                   .groupBy("__ok").agg(F.count(F.lit(1)).alias("__n"))
                    .join(right, "__ok", "left_anti")
-                   .agg(F.count(F.lit(1)).cast("long").alias("value"))
+                   .agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("value"))
                    .select(F.lit("orphans").alias("check"), F.lit(name).alias("column"), "value"))
         report = report.unionByName(orphans)
     return report

@@ -8,16 +8,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boxstats.functions.scalars import normalise_game_id
 from boxstats.operators.games import with_game_type
 from boxstats.operators.projections import conform, lower_columns
+from boxstats.sinks.writers import read_stored
 from boxstats.sources import schemas as SC
 
 
+def empty_text_as_null(df: DataFrame) -> DataFrame:
+    """Q21: an empty text is a missing value, whatever the format it was stored in."""
+    return df.withColumns({f.name: F.nullif(F.col(f"`{f.name}`"), F.lit("")) for f in df.schema
+                           if isinstance(f.dataType, T.StringType)})
+
+
 def _reader(spark: SparkSession, schema: T.StructType, fmt: str):
     r = spark.read.schema(schema)
     if fmt == "csv":
@@ -28,34 +36,31 @@ def _reader(spark: SparkSession, schema: T.StructType, fmt: str):
 
 def load_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str = "parquet") -> DataFrame:
-    """Scan a stored table: CSV with header, parquet, or (``fmt="table"``) a catalog
-    table by name, projected to ``schema`` when one is given."""
-    if fmt == "table":
-        df = spark.table(path)
-        return df if schema is None else conform(df, schema)
+    """Scan a stored table: CSV with header, parquet, (``fmt="commits"``) a table of
+    ``commit_replace``, or (``fmt="table"``) a catalog table by name, projected to ``schema``
+    when one is given. Empty texts read as NULL."""
+    if fmt in ("table", "commits"):
+        df = spark.table(path) if fmt == "table" else read_stored(spark, path)
+        return empty_text_as_null(df if schema is None else conform(df, schema))
     if schema is None:
         if fmt == "csv":
             raise ValueError("CSV tables need a schema: inference misreads ids and clocks")
-        return spark.read.format(fmt).load(path)
-    return _reader(spark, schema, fmt).load(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on its file system; a path without a scheme is resolved against
-    the cluster's default file system, as Spark's readers do."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+        return empty_text_as_null(spark.read.format(fmt).load(path))
+    return empty_text_as_null(_reader(spark, schema, fmt).load(path))
 
 
 def load_or_empty(spark: SparkSession, path: str, schema: T.StructType,
                   fmt: str = "parquet") -> DataFrame:
     """A table that does not exist yet reads as empty (first run). Other read errors
     raise: a broken table is not "nothing stored"."""
-    if not _exists(spark, path):
+    if fmt == "commits":
+        return empty_text_as_null(conform(read_stored(spark, path, schema), schema))
+    try:
+        return load_table(spark, path, schema, fmt)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return load_table(spark, path, schema, fmt)
 
 
 def read_players(spark: SparkSession, path: str, fmt: str = "csv",
@@ -106,17 +111,25 @@ def read_payloads(spark: SparkSession, path: str, schema: T.StructType,
                   fmt: str = "json") -> DataFrame:
     """S5 / S6 + U2: every landed box-score payload under ``path`` in one scan.
 
-    Malformed records are kept in ``_corrupt_record`` (PERMISSIVE); ``split_payloads`` routes
-    them to a quarantine frame, so a bad game never stops the run (D2)."""
+    Malformed records are kept in ``_corrupt_record`` (PERMISSIVE) and every row carries the file
+    it came from; ``split_payloads`` routes bad files to a quarantine frame, so a bad game never
+    stops the run (D2)."""
     df = (spark.read.schema(SC.with_corrupt(schema)).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", SC.CORRUPT_COLUMN).format(fmt).load(path))
-    return df.withColumn("gameId", normalise_game_id("gameId"))
+    return df.select("*", F.col("_metadata.file_path").alias(SC.FILE_COLUMN)).withColumn(
+        "gameId", normalise_game_id("gameId"))
+
+
+def bad_payload() -> Column:
+    """A row that failed to parse or has no game id."""
+    return F.col(SC.CORRUPT_COLUMN).isNotNull() | F.col("gameId").isNull()
 
 
 def split_payloads(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantined rows). A row is bad when it failed to parse or has no game
-    id; its game stays out of the stored ids and is picked up again next run."""
-    bad = F.col(SC.CORRUPT_COLUMN).isNotNull() | F.col("gameId").isNull()
-    good = df.filter(~bad).drop(SC.CORRUPT_COLUMN)
-    quarantine = df.filter(bad)
-    return good, quarantine
+    """(good rows, quarantined rows), by whole files. A file is one game's payload, so one
+    bad record quarantines all its rows: the game stays out of the stored ids and is ingested
+    once the file is repaired."""
+    files = df.filter(bad_payload()).select(SC.FILE_COLUMN).distinct()
+    good = df.join(files, SC.FILE_COLUMN, "left_anti").drop(SC.CORRUPT_COLUMN, SC.FILE_COLUMN)
+    return good, df.join(files, SC.FILE_COLUMN, "left_semi").select(*df.columns)
+

@@ -94,6 +94,7 @@ PREDICTIONS = _struct([
 
 AUDIT_COLUMN = "aud_modification_date"
 CORRUPT_COLUMN = "_corrupt_record"
+FILE_COLUMN = "_payload_file"
 
 
 def with_corrupt(schema: T.StructType) -> T.StructType:

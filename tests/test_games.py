@@ -6,7 +6,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from boxstats.operators import games as G
-from boxstats.operators.joins import new_columns_only, row_bytes
+from boxstats.operators import joins as J
+from boxstats.operators.joins import new_columns_only
 
 
 def test_new_games_matches_integer_stored_ids(spark):
@@ -46,11 +47,21 @@ def test_games_between_days_and_types(spark):
     assert G.with_game_type(df, "game_id", keep=("playoffs",)).count() == 9
 
 
-def test_new_columns_only_and_row_bytes(spark):
+def test_broadcast_bound_is_measured(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "x" * 1000), (2, None)], "a long, s string")
+    rows, size = J.measured_size(df)
+    assert rows == 2 and 1000 < size < 1200
+    hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
+    assert hinted(J.bounded_broadcast(df))
+    monkeypatch.setattr(J, "BROADCAST_BYTES", 500)         # long texts count with their length
+    assert not hinted(J.bounded_broadcast(df))
+    assert J.measured_size(df.limit(0)) == (0, 0)
+
+
+def test_new_columns_only(spark):
     left = spark.createDataFrame([(1, 2, "x")], "a long, b long, c string")
     right = spark.createDataFrame([(1, 5, 6.0, "y")], "a long, b long, d double, c string")
     assert new_columns_only(right, left, ["a"]).columns == ["a", "d"]
-    assert row_bytes(right.schema) == 8 + 8 + 8 + 8 + 20
 
 
 from hypothesis import given, settings  # noqa: E402

@@ -5,6 +5,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -38,28 +39,94 @@ def test_replace_by_key_properties(spark, target_rows, batch_rows):
     assert got == want  # other keys untouched, NULL keys never delete
 
 
-def test_commit_replace_partition_scoped(spark):
-    root = tempfile.mkdtemp(prefix="k3-", dir="/tmp") + "/t"
+SCHEMA = "gameId string, personId int, game_date date"
+
+
+def _stored(spark, root):
+    return sorted(((r.gameId, r.personId, str(r.game_date))
+                   for r in K.read_stored(spark, root).collect()), key=str)
+
+
+def _root():
+    return tempfile.mkdtemp(prefix="k3-", dir="/tmp") + "/t"
+
+
+def test_commit_replace(spark):
+    root, ts = _root(), dt.datetime(2024, 1, 5)
     rows = [("g1", 1, dt.date(2024, 1, 1)), ("g1", 2, dt.date(2024, 1, 1)),
             ("g2", 1, dt.date(2024, 1, 2)), ("g3", 1, dt.date(2024, 1, 3))]
-    schema = "gameId string, personId int, game_date date"
-    ts = dt.datetime(2024, 1, 5)
-    m0 = K.commit_replace(spark, spark.createDataFrame(rows, schema), root, ["gameId"],
+    m0 = K.commit_replace(spark, spark.createDataFrame(rows, SCHEMA), root, ["gameId"],
                           "game_date", ts=ts)
-    assert m0["saved"] == 4
+    assert m0 == {"deleted": 0, "saved": 4}
     # g1 replaced by one row, g2 moved to another date, g4 new; g3 untouched.
     batch = spark.createDataFrame([("g1", 9, dt.date(2024, 1, 1)), ("g2", 7, dt.date(2024, 1, 4)),
-                                   ("g4", 1, dt.date(2024, 1, 4))], schema)
+                                   ("g4", 1, dt.date(2024, 1, 4))], SCHEMA)
+    before = K.read_stored(spark, root)
     m1 = K.commit_replace(spark, batch, root, ["gameId"], "game_date", ts=ts)
-    assert m1["deleted"] == 3 and m1["saved"] == 3 and m1["partitions"] == 3
-    got = sorted((r.gameId, r.personId, str(r.game_date))
-                 for r in spark.read.parquet(root).collect())
-    assert got == [("g1", 9, "2024-01-01"), ("g2", 7, "2024-01-04"), ("g3", 1, "2024-01-03"),
-                   ("g4", 1, "2024-01-04")]
+    assert m1 == {"deleted": 3, "saved": 3}
+    assert before.count() == 4              # a reader keeps the table it opened
+    want = [("g1", 9, "2024-01-01"), ("g2", 7, "2024-01-04"), ("g3", 1, "2024-01-03"),
+            ("g4", 1, "2024-01-04")]
+    assert _stored(spark, root) == want
     # K5: an empty batch writes nothing.
-    before = sorted(os.listdir(root))
-    m2 = K.commit_replace(spark, batch.limit(0), root, ["gameId"], "game_date")
-    assert m2["saved"] == 0 and sorted(os.listdir(root)) == before
+    assert K.commit_replace(spark, batch.limit(0), root, ["gameId"], "game_date")["saved"] == 0
+    # The same batch again replaces itself.
+    assert K.commit_replace(spark, batch, root, ["gameId"], "game_date", ts=ts) == {
+        "deleted": 3, "saved": 3}
+    assert _stored(spark, root) == want
+    K.compact(spark, root, "game_date")
+    assert _stored(spark, root) == want
+    assert K.commit_replace(spark, batch.filter("gameId = 'g4'"), root, ["gameId"],
+                            "game_date")["deleted"] == 1
+    assert _stored(spark, root) == want
+
+
+def test_commit_keeps_rows_without_partition_value(spark):
+    root = _root()
+    for game in ("g1", "g3"):
+        K.commit_replace(spark, spark.createDataFrame([(game, 1, None)], SCHEMA), root,
+                         ["gameId"], "game_date")
+    assert [r[0] for r in _stored(spark, root)] == ["g1", "g3"]
+    moved = spark.createDataFrame([("g1", 1, dt.date(2024, 1, 1))], SCHEMA)
+    assert K.commit_replace(spark, moved, root, ["gameId"], "game_date")["deleted"] == 1
+    assert _stored(spark, root) == [("g1", 1, "2024-01-01"), ("g3", 1, "None")]
+
+
+def test_commit_keeps_partition_texts_and_types(spark):
+    root, schema = _root(), "gameId string, season string"
+    for value in ("01", "x:y", "a=b/c"):
+        K.commit_replace(spark, spark.createDataFrame([("g1", value), (value, value)], schema),
+                         root, ["gameId"], "season", audit=False)
+    got = K.read_stored(spark, root)
+    assert dict(got.dtypes)["season"] == "string"
+    assert sorted(tuple(r) for r in got.collect()) == [
+        ("01", "01"), ("a=b/c", "a=b/c"), ("g1", "a=b/c"), ("x:y", "x:y")]
+
+
+def test_commit_adds_columns_and_refuses_types(spark):
+    root = _root()
+    K.commit_replace(spark, spark.createDataFrame([("g1", 1)], "gameId string, a int"), root,
+                     ["gameId"], "a", audit=False)
+    K.commit_replace(spark, spark.createDataFrame([("g2", 2, "n")],
+                                                  "gameId string, a int, note string"),
+                     root, ["gameId"], "a", audit=False)
+    assert sorted(map(tuple, K.read_stored(spark, root).collect())) == [
+        ("g1", 1, None), ("g2", 2, "n")]
+    with pytest.raises(ValueError):
+        K.commit_replace(spark, spark.createDataFrame([("g3", "x")], "gameId string, a string"),
+                         root, ["gameId"], "a", audit=False)
+    assert K.read_stored(spark, root).count() == 2
+
+
+def test_commit_adds_rows_without_key_and_unfinished_commits_are_invisible(spark):
+    root = _root()
+    batch = spark.createDataFrame([(None, 1, None), ("g1", 2, None)], SCHEMA)
+    K.commit_replace(spark, batch, root, ["gameId"], "game_date", audit=False)
+    # A commit that failed before its manifest line.
+    batch.write.parquet(f"{root}/data/commit=2")
+    assert K.read_stored(spark, root).count() == 2
+    K.commit_replace(spark, batch, root, ["gameId"], "game_date", audit=False)
+    assert _stored(spark, root) == [("g1", 2, "None"), (None, 1, "None"), (None, 1, "None")]
 
 
 def test_ingest_metrics_and_audit(spark):
@@ -98,6 +165,30 @@ def test_payload_quarantine(spark):
     assert bad.count() == 1 and SC.CORRUPT_COLUMN in bad.columns
 
 
+def test_one_broken_line_quarantines_its_file_until_repaired(spark):
+    base = tempfile.mkdtemp(prefix="payloads-", dir="/tmp")
+    FX.land_payloads(base, [1], bad=False)
+    name = [os.path.join(d, f) for d, _, fs in os.walk(base) for f in fs if f.endswith("json")][0]
+    whole = open(name).read()
+    open(name, "w").write(whole.rstrip("\n") + '\n{"gameId": "00\n')
+    good, bad = RD.split_payloads(RD.read_payloads(spark, base, SC.BASIC_PAYLOAD))
+    assert good.isEmpty() and bad.count() > 1
+    open(name, "w").write(whole)
+    good, bad = RD.split_payloads(RD.read_payloads(spark, base, SC.BASIC_PAYLOAD))
+    assert not good.isEmpty() and bad.isEmpty()
+
+
+def test_empty_text_is_missing_in_every_format(spark):
+    base = tempfile.mkdtemp(prefix="empty-", dir="/tmp")
+    df = spark.createDataFrame([(1, ""), (2, "x")], "k long, minutes string")
+    df.write.parquet(f"{base}/p")
+    K.write_csv(df, f"{base}/c")
+    K.commit_replace(spark, df, f"{base}/m", ["k"], "k", audit=False)
+    for path, fmt in (("p", "parquet"), ("c", "csv"), ("m", "commits")):
+        back = RD.load_table(spark, f"{base}/{path}", df.schema, fmt)
+        assert {r.k: r.minutes for r in back.collect()} == {1: None, 2: "x"}, fmt
+
+
 def test_quality_report(spark):
     df = spark.createDataFrame([(1, 1, None), (1, 1, "x"), (2, None, "y"), (3, 1, "z")],
                                "k long, j long, s string")
