@@ -5,37 +5,43 @@ the driver's columns box-score meaning. All of them are lazy scans with derived
 filters and column pruning still reach the parquet reader.
 
 B1 ``events`` as a box score: player ``user_id``, game ``event_id``, date ``ts``, position
-``event_type``, team ``user_id % 30``, opponent ``event_id % 30``, points ``value``, minutes
+``event_type``, team ``user_id`` by fifteens, opponent ``event_id % 30``, points ``value``, minutes
 ``props.k``, possessions ``event_id % 7``.
 B2 star schema as a box score: game ``o_orderkey``, date ``o_orderdate``, player ``o_custkey``,
 team ``c_nationkey``, position ``c_mktsegment``, opponent ``s_nationkey``, points = revenue per
 order and supplier nation.
-B3 ``orders`` as a schedule: home team ``o_custkey % 25``, away ``(o_custkey + 7) % 25``,
-status ``o_orderstatus`` (``F`` = finished); roster = ``customer`` by ``c_nationkey``.
+B3 ``orders`` as a schedule: home team ``o_custkey`` by fifteens, away the seventh team after it,
+status ``o_orderstatus`` (``F`` = finished); roster = ``customer`` by fifteens.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxstats.functions.scalars import parse_minutes
 from boxstats.sources.tables import table
 
-B1_TEAMS = 30
+B1_OPPONENTS = 30
 B1_POSSESSION_MOD = 7
-B3_TEAMS = 25
+# Players of a team: teams grow with the data, so player-games grow in proportion to it.
+TEAM_SIZE = 15
 B3_AWAY_OFFSET = 7
 
 
+def team_of(player: str) -> Column:
+    """The team of a player id: ``TEAM_SIZE`` consecutive ids."""
+    return F.floor(F.col(player) / TEAM_SIZE).cast("long")
+
+
 def events_box(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1."""
     ev = table(spark, sf_dir, "events")
     return ev.select(
         "user_id", "event_id", "ts", "value",
         F.col("event_type").alias("position"),
-        (F.col("user_id") % B1_TEAMS).alias("team"),
-        (F.col("event_id") % B1_TEAMS).alias("opponent"),
+        team_of("user_id").alias("team"),
+        (F.col("event_id") % B1_OPPONENTS).alias("opponent"),
         parse_minutes(F.get_json_object("props", "$.k")).alias("minutes"),
         (F.col("event_id") % B1_POSSESSION_MOD).cast("double").alias("possessions"),
     )
@@ -44,14 +50,13 @@ def events_box(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_supplier_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B2: one row per (order, supplier nation) with its revenue as points.
 
-    lineitem is aggregated first (partial aggregation), then joined to the two small
-    dimensions (supplier by key; orders and customer by key)."""
+    Line rows take their supplier's nation, then one aggregate on (order, nation), combined
+    map-side, meets the orders on the order key."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    per_supp = li.groupBy("l_orderkey", "l_suppkey").agg(
-        F.sum("l_extendedprice").alias("rev"))
-    per_nation = (per_supp.join(sup, per_supp.l_suppkey == sup.s_suppkey)
-                  .groupBy("l_orderkey", "s_nationkey").agg(F.sum("rev").alias("points")))
+    per_nation = (li.join(sup, li.l_suppkey == sup.s_suppkey)
+                  .groupBy("l_orderkey", "s_nationkey")
+                  .agg(F.sum("l_extendedprice").alias("points")))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     return (per_nation.join(orders, per_nation.l_orderkey == orders.o_orderkey)
@@ -72,20 +77,20 @@ def orders_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.col("o_orderkey").alias("game_id"),
         F.col("o_orderdate").alias("game_date"),
-        (F.col("o_custkey") % B3_TEAMS).alias("home_team_id"),
-        ((F.col("o_custkey") + B3_AWAY_OFFSET) % B3_TEAMS).alias("away_team_id"),
+        team_of("o_custkey").alias("home_team_id"),
+        (team_of("o_custkey") + B3_AWAY_OFFSET).alias("away_team_id"),
         F.col("o_orderstatus").alias("game_status"),
         "o_totalprice",
     )
 
 
 def customer_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B3 roster: customers as players of team ``c_nationkey``."""
+    """B3 roster: customers as players of their team."""
     c = table(spark, sf_dir, "customer")
     return c.select(
         F.col("c_custkey").alias("person_id"),
         F.col("c_name").alias("player_slug"),
-        F.col("c_nationkey").cast("long").alias("team_id"),
+        team_of("c_custkey").alias("team_id"),
         F.col("c_mktsegment").alias("position"),
     )
 

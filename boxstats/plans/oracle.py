@@ -12,7 +12,7 @@ R = 6
 _B1 = """
 b1 AS (
   SELECT user_id, event_id, ts, value, event_type AS position,
-         user_id % 30 AS team, event_id % 30 AS opponent,
+         user_id // 15 AS team, event_id % 30 AS opponent,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS minutes,
          CAST(event_id % 7 AS DOUBLE) AS possessions
   FROM events
@@ -62,10 +62,12 @@ FROM b1r
 _SKEW_W = "PARTITION BY player ORDER BY ts ASC NULLS LAST, event_id ASC NULLS LAST"
 ROLLING_RATE_FEATURES_SKEWED = f"""
 WITH {_B1},
-sk AS (SELECT *, CASE WHEN user_id % 3 = 0 THEN -1 ELSE user_id END AS player FROM b1r)
-SELECT player, event_id, ts, value_per36, value_per_poss,
+sk AS (SELECT *, CASE WHEN event_id % 7 = 0 THEN NULL WHEN user_id % 3 = 0 THEN -1
+                       ELSE user_id END AS player FROM b1r)
+SELECT CAST(player AS DOUBLE) AS player, event_id, ts, value_per36, value_per_poss,
   """ + ",\n  ".join(
-    f"{ordered_mean(c, n - 1, 0, _SKEW_W)} AS {c}_rolling_{n}" for c in _RATES for n in _WINDOWS
+    f"CASE WHEN player IS NOT NULL THEN {ordered_mean(c, n - 1, 0, _SKEW_W)} END"
+    f" AS {c}_rolling_{n}" for c in _RATES for n in _WINDOWS
 ) + """
 FROM sk
 """
@@ -92,12 +94,9 @@ FROM b1r
 
 # B2 (order x supplier nation revenue as points) in SQL.
 _B2 = """
-per_supp AS (
-  SELECT l_orderkey, l_suppkey, sum(l_extendedprice) AS rev FROM lineitem GROUP BY 1, 2
-),
 per_nation AS (
-  SELECT l_orderkey, s_nationkey, sum(rev) AS points
-  FROM per_supp JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2
+  SELECT l_orderkey, s_nationkey, sum(l_extendedprice) AS points
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2
 ),
 b2 AS (
   SELECT o_orderkey AS game, o_orderdate AS game_date, o_custkey AS player,
@@ -163,7 +162,7 @@ _GAME_ID_TEXT = """CASE WHEN regexp_full_match(CAST({c} AS VARCHAR), '[0-9]{{8}}
 
 NEW_FINISHED_GAMES = f"""
 SELECT {_GAME_ID_TEXT.format(c="o_orderkey")} AS game_id, o_orderdate AS game_date,
-       o_custkey % 25 AS home_team_id, (o_custkey + 7) % 25 AS away_team_id
+       o_custkey // 15 AS home_team_id, o_custkey // 15 + 7 AS away_team_id
 FROM orders
 WHERE o_orderstatus = 'F'
   AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F')
@@ -189,12 +188,12 @@ _ROSTER_GROUP = """CASE {c} WHEN 'G' THEN 'G' WHEN 'G-F' THEN 'G' WHEN 'F' THEN
 PLAYER_GAMES = f"""
 WITH g AS (
   SELECT o_orderkey AS game_id, o_orderdate AS game_date,
-         o_custkey % 25 AS home, (o_custkey + 7) % 25 AS away
+         o_custkey // 15 AS home, o_custkey // 15 + 7 AS away
   FROM orders WHERE o_orderdate >= {_UPCOMING_FROM} AND o_orderdate < {_UPCOMING_TO_7}
 ),
 r AS (
   SELECT DISTINCT c_custkey AS person_id, c_name AS player_slug,
-         CAST(c_nationkey AS BIGINT) AS team_id, c_mktsegment AS position
+         c_custkey // 15 AS team_id, c_mktsegment AS position
   FROM customer
 ),
 s AS (
@@ -209,8 +208,8 @@ SELECT s.game_id, s.game_date, r.team_id, r.person_id, r.player_slug, r.position
 FROM s JOIN r ON s.team_id = r.team_id
 """
 
-_B3_COLS = """o_orderkey AS game_id, o_orderdate AS game_date, o_custkey % 25 AS home_team_id,
-  (o_custkey + 7) % 25 AS away_team_id, o_orderstatus AS game_status, o_totalprice"""
+_B3_COLS = """o_orderkey AS game_id, o_orderdate AS game_date, o_custkey // 15 AS home_team_id,
+  o_custkey // 15 + 7 AS away_team_id, o_orderstatus AS game_status, o_totalprice"""
 
 GAMES_ON_DATE = f"""
 SELECT {_B3_COLS} FROM orders
@@ -378,9 +377,9 @@ WITH {_IDS}, n AS (SELECT *, {_NORM} AS game_id FROM ids)
 SELECT game_id, starts_with(game_id, '002') AS is_regular_season,
   starts_with(game_id, '004') AS is_playoffs, o_orderpriority AS playoffs_desc,
   CAST(o_orderdate AS DATE) AS game_date,
-  o_custkey % 25 AS home_team_id, 'T' || CAST(o_custkey % 25 AS VARCHAR) AS home_team_tricode,
-  (o_custkey + 7) % 25 AS visitor_team_id,
-  'T' || CAST((o_custkey + 7) % 25 AS VARCHAR) AS visitor_team_tricode,
+  o_custkey // 15 AS home_team_id, 'T' || CAST(o_custkey // 15 AS VARCHAR) AS home_team_tricode,
+  o_custkey // 15 + 7 AS visitor_team_id,
+  'T' || CAST(o_custkey // 15 + 7 AS VARCHAR) AS visitor_team_tricode,
   CASE WHEN o_orderstatus = 'F' THEN '3' ELSE '1' END AS game_status,
   o_orderstatus AS game_status_text
 FROM n WHERE starts_with(game_id, '002') OR starts_with(game_id, '004')
@@ -401,7 +400,7 @@ LOWER_COLUMNS = "SELECT * FROM customer"
 
 DEDUP_ROSTER = """
 SELECT DISTINCT c_custkey AS person_id, c_name AS player_slug,
-       CAST(c_nationkey AS BIGINT) AS team_id, c_mktsegment AS position
+       c_custkey // 15 AS team_id, c_mktsegment AS position
 FROM customer
 """
 
@@ -461,10 +460,10 @@ f AS (
 ),
 latest AS (SELECT * FROM f WHERE rn = 1 AND user_id IS NOT NULL),
 g AS (
-  SELECT o_orderkey AS game_id, o_custkey % 25 AS home, (o_custkey + 7) % 25 AS away
+  SELECT o_orderkey AS game_id, o_custkey // 15 AS home, o_custkey // 15 + 7 AS away
   FROM orders WHERE o_orderdate >= {_UPCOMING_FROM} AND o_orderdate < {_UPCOMING_TO_7}
 ),
-ros AS (SELECT DISTINCT user_id AS person_id, user_id % 30 AS team_id FROM events),
+ros AS (SELECT DISTINCT user_id AS person_id, user_id // 15 AS team_id FROM events),
 s AS (
   SELECT game_id, home, away, home AS team_id FROM g
   UNION ALL
@@ -483,14 +482,144 @@ FROM up JOIN latest ON up.person_id = latest.user_id
 """
 
 STREAM_INGEST = "SELECT * FROM events"
-AUDIT_AND_WRITE = "SELECT * FROM nation"
+AUDIT_AND_WRITE = "SELECT *, '2024-01-01 12:00:00' AS loaded FROM nation"
+
+INCREMENTAL_INGEST = """
+WITH o AS (
+  SELECT o_orderkey, '0024' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS gid,
+         CAST(o_orderdate AS DATE) AS day, o_custkey // 15 AS home,
+         o_orderdate < TIMESTAMP '1997-01-01' AS early, o_orderkey % 10 = 7 AS broken
+  FROM orders WHERE o_orderstatus = 'F'
+),
+r AS (
+  SELECT gid AS "gameId", CAST(l_suppkey AS BIGINT) AS "teamId",
+         CAST(l_partkey AS BIGINT) AS "personId", CAST(floor(l_quantity) AS INTEGER) AS points,
+         CAST(l_linenumber AS INTEGER) AS assists, day AS game_date, home AS home_team_id,
+         home + 7 AS visitor_team_id, 'F' AS game_status_text, '2024-01-01 12:00:00' AS loaded,
+         early
+  FROM lineitem JOIN o ON l_orderkey = o_orderkey WHERE NOT broken
+),
+c AS (
+  SELECT 'finals' AS k, count(*) AS n FROM o
+  UNION ALL SELECT 'new', count(*) FROM o
+    WHERE broken OR NOT early OR o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+  UNION ALL SELECT 'saved', count(*) FROM r WHERE NOT early
+  UNION ALL SELECT 'deleted', 0
+  UNION ALL SELECT 'missing', count(*) FROM o
+    WHERE broken OR o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+  UNION ALL SELECT 'quarantined', count(*) FROM lineitem WHERE l_orderkey % 10 = 7
+)
+SELECT * EXCLUDE (early) FROM r
+UNION ALL
+SELECT k, n, 0, 0, 0, DATE '1900-01-01', 0, 0, '', '' FROM c
+"""
 
-INCREMENTAL_INGEST_LINES = """
-SELECT l_orderkey AS game_id, l_linenumber, l_partkey, l_quantity, l_extendedprice,
-       o_orderdate AS game_date, o_custkey % 25 AS home_team_id,
-       (o_custkey + 7) % 25 AS away_team_id
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE o_orderstatus = 'F'
+
+def _day(shift: int) -> str:
+    return f"""CASE WHEN (o_orderkey + {shift}) % 5 = 0 THEN NULL
+    WHEN o_orderpriority = '1-URGENT'
+      THEN 'x:' || lpad(CAST((o_orderkey + {shift}) % 28 AS VARCHAR), 2, '0')
+    ELSE lpad(CAST((o_orderkey + {shift}) % 28 AS VARCHAR), 2, '0') END"""
+
+
+COMMIT_REPLACE = f"""
+SELECT o_orderkey, 'F' AS o_orderstatus, o_orderpriority, o_totalprice, {_day(1)} AS day,
+       'late' AS note
+FROM orders WHERE o_orderstatus = 'O'
+UNION ALL
+SELECT o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, {_day(0)}, NULL
+FROM orders WHERE o_orderstatus IS DISTINCT FROM 'O'
+"""
+
+READ_DIMENSIONS = """
+SELECT 'player' AS kind, CAST(c_custkey AS VARCHAR) AS id,
+       CASE WHEN c_custkey % 4 = 0 THEN c_name ELSE c_name || ' G-F' END AS text,
+       CAST(NULL AS DATE) AS day
+FROM customer
+UNION ALL
+SELECT 'team', CAST(n_nationkey AS VARCHAR), n_name, NULL FROM nation
+UNION ALL
+SELECT 'game', '00' || lpad(CAST(o_orderkey AS VARCHAR), 8, '2'), o_orderstatus,
+       CAST(o_orderdate AS DATE)
+FROM orders
+"""
+
+# B2 in the box-score contracts in SQL.
+_BOX = """
+box AS (
+  SELECT '00224' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') AS gid, l_partkey AS pid,
+         CAST(min(o_orderdate) AS DATE) AS day, CAST(sum(l_quantity) AS INTEGER) AS points,
+         sum(l_linenumber) AS lines
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_partkey
+)"""
+
+HISTORICAL_STATS = f"""
+WITH {_BOX}
+SELECT gid AS "gameId", pid AS "personId", points, CAST(lines AS VARCHAR) || ':30' AS minutes,
+       points * 2.0::DOUBLE AS possessions,
+       CASE WHEN p_size % 2 = 0 THEN 'G-F' ELSE 'F-C' END AS position_player
+FROM box LEFT JOIN part ON pid = p_partkey
+"""
+
+TRANSFORM_UPCOMING = f"""
+WITH {_BOX},
+h AS (
+  SELECT *, points / (lines + 0.5::DOUBLE) * 36 AS rate FROM box
+),
+w AS (
+  SELECT pid, avg(rate) OVER (PARTITION BY pid ORDER BY day, gid
+                              ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS m,
+         row_number() OVER (PARTITION BY pid ORDER BY day DESC, gid DESC) AS rn
+  FROM h
+),
+g AS (
+  SELECT '00224' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS gid, o_custkey // 15 AS home
+  FROM orders
+  WHERE o_orderdate >= TIMESTAMP '1998-01-05' AND o_orderdate < TIMESTAMP '1998-02-04'
+),
+s AS (SELECT gid, home, home AS team FROM g UNION ALL SELECT gid, home, home + 7 FROM g)
+SELECT s.gid AS "gameId", w.pid AS "personId",
+       CASE WHEN team = home THEN 1.0 ELSE 0.0 END::DOUBLE AS "is_home_True",
+       1.0::DOUBLE AS season_2024, round(m, {R}) AS rolling_5
+FROM s JOIN part ON p_partkey // 15 = s.team JOIN w ON w.pid = p_partkey AND rn = 1
+"""
+
+OPPONENT_AVERAGES_WITHOUT_BENCH = f"""
+WITH {_B1},
+h AS (
+  SELECT position AS position_group, opponent, CAST(ts AS DATE) AS game_date, value
+  FROM b1 WHERE position <> 'signup'
+), {_avg_of_daily("h", "value")}
+SELECT position_group, opponent,
+  round(avg_pts_opp_position_last_10, {R}) AS avg_pts_opp_position_last_10,
+  round(avg_pts_opp_position_last_20, {R}) AS avg_pts_opp_position_last_20,
+  round(avg_pts_opp_position_all, {R}) AS avg_pts_opp_position_all
+FROM a
+"""
+
+NO_GAMES = f"SELECT {_B3_COLS} FROM orders WHERE o_orderdate < TIMESTAMP '1900-01-02'"
+
+FEATURE_MATRIX = "SELECT game_id, person_id, " + ", ".join(
+    f"round({c}, {R}) AS {c}" for c in _B1_FEATURES + _OPP_FEATURES
+) + f" FROM ({PREDICTION_INPUTS})"
+
+SCORE_POINTS = f"""
+SELECT CAST(p.game_id AS VARCHAR) AS "gameId", CAST(o_orderdate AS DATE) AS "gameDate",
+       p.team_id AS "teamId", p.opponent AS "opponentId", p.person_id AS "personId",
+       'u' || CAST(p.person_id AS VARCHAR) AS "fullName", true AS predicted
+FROM ({PREDICTION_INPUTS}) p JOIN orders ON p.game_id = o_orderkey
+"""
+
+EVALUATE_POINTS = f"""
+WITH p AS (
+  SELECT ts, value AS y, {ordered_mean("value", 10, 1, _B1_W)} AS p FROM events
+  WHERE user_id IS NOT NULL
+),
+t AS (SELECT y, y - p AS e FROM p WHERE ts >= TIMESTAMP '2024-01-21' AND y IS NOT NULL
+      AND p IS NOT NULL)
+SELECT round(sqrt(avg(e * e)), {R}) AS rmse, round(avg(abs(e)), {R}) AS mae,
+       round(1 - sum(e * e) / nullif(var_pop(y) * count(*), 0), {R}) AS r2
+FROM t
 """
 
 ORACLE = {
@@ -524,5 +653,14 @@ ORACLE = {
     "prediction_inputs": PREDICTION_INPUTS,
     "stream_ingest": STREAM_INGEST,
     "audit_and_write": AUDIT_AND_WRITE,
-    "incremental_ingest_lines": INCREMENTAL_INGEST_LINES,
+    "incremental_ingest": INCREMENTAL_INGEST,
+    "commit_replace": COMMIT_REPLACE,
+    "read_dimensions": READ_DIMENSIONS,
+    "historical_stats": HISTORICAL_STATS,
+    "opponent_averages_without_bench": OPPONENT_AVERAGES_WITHOUT_BENCH,
+    "no_games": NO_GAMES,
+    "transform_upcoming": TRANSFORM_UPCOMING,
+    "feature_matrix": FEATURE_MATRIX,
+    "score_points": SCORE_POINTS,
+    "evaluate_points": EVALUATE_POINTS,
 }

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,7 @@ from boxstats.operators import history as H
 from boxstats.operators import opponent as OPP
 from boxstats.operators import windows as win
 from boxstats.plans import bindings as B
+from boxstats.plans import pipeline as PL
 from boxstats.model import points as M
 from boxstats.operators import inputs as INP
 from boxstats.session import scratch_dir
@@ -65,21 +67,18 @@ def rolling_rate_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "event_id", "ts", *_b1_feature_cols())
 
 
-# Rows per window task before a player is split, for the skewed binding: low enough that the
-# hot player (a third of all events) is cut into chunks at every scale factor.
-SKEW_HOT_ROWS = 1_000
-
-
 def rolling_rate_features_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 under skew: the events of every third user belong to one player (a third of all rows
-    on one key). The hot player is split into date-range chunks with halos; the result equals
-    the unsplit window exactly."""
+    on one key), and every seventh event has no player. The hot player is split into date-range
+    chunks with halos; the result equals the unsplit window exactly."""
     box = B.events_box(spark, sf_dir).withColumn(
-        "player", F.when(F.col("user_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+        "player", F.when(F.col("event_id") % 7 == 0, F.lit(None))
+        .when(F.col("user_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
     out = feat.rate_and_rolling_features(box, stats=B1_STATS, extra_rate_stats=(),
-                                         player="player", order=B1_ORDER,
-                                         hot_rows=SKEW_HOT_ROWS)
-    return out.select("player", "event_id", "ts", *_b1_feature_cols())
+                                         player="player", order=B1_ORDER)
+    # Presented as double: an integer column with NULLs compares unambiguously that way.
+    return out.select(F.col("player").cast("double").alias("player"), "event_id", "ts",
+                      *_b1_feature_cols())
 
 
 def latest_features_per_player(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,6 +258,10 @@ def position_group_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.filter(F.col("position") != F.lit(X.BENCH_LITERAL))
 
 
+# For the context query a customer is at home where its nation is that of its order.
+NATIONS = 25
+
+
 def _b3_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -266,7 +269,7 @@ def _b3_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(
         "o_orderkey",
         X.is_home(F.col("c_nationkey").cast("long"),
-                  F.col("o_custkey") % B.B3_TEAMS).alias("is_home"),
+                  F.col("o_custkey") % NATIONS).alias("is_home"),
         F.year("o_orderdate").alias("season"))
 
 
@@ -277,12 +280,18 @@ def one_hot_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ENC.one_hot(ctx, fitted)
 
 
+# Documents a day's games are spread over, so that a document's size is bounded in the test data
+# by the games of a season and not by all orders.
+GAME_FILES = 16
+
+
 def _nested_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as season-schedule documents: per order one month holding its game, and one
-    month without ``mscd`` (skipped by the flattening, as a month without games is)."""
+    """Orders as season-schedule documents: one per year and day of the month (a landed file's
+    part of the season), with a month of many games for each calendar month, and one month
+    without ``mscd`` (skipped by the flattening, as a month without games is)."""
     g = B.game_id_texts(spark, sf_dir)
-    home = F.col("o_custkey") % B.B3_TEAMS
-    away = (F.col("o_custkey") + B.B3_AWAY_OFFSET) % B.B3_TEAMS
+    home = B.team_of("o_custkey")
+    away = home + B.B3_AWAY_OFFSET
     game = F.struct(
         F.col("raw_id").alias("gid"),
         F.col("o_orderpriority").alias("seri"),
@@ -293,10 +302,14 @@ def _nested_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("h"),
         F.struct(away.alias("tid"), F.concat(F.lit("T"), away.cast("string")).alias("ta"))
         .alias("v"))
-    month = F.struct(F.struct(F.array(game).alias("g")).alias("mscd"))
+    month = F.struct(F.struct(F.collect_list(game).alias("g")).alias("mscd")).alias("month")
+    months = g.groupBy(F.year("o_orderdate").alias("y"), F.dayofmonth("o_orderdate").alias("d"),
+                       F.month("o_orderdate").alias("m"), (F.col("o_orderkey") % GAME_FILES)
+                       .alias("f")).agg(month)
     mscd_type = SC.SEASON_SCHEDULE_JSON["lscd"].dataType.elementType["mscd"].dataType
     empty = F.struct(F.lit(None).cast(mscd_type).alias("mscd"))
-    return g.select(F.array(month, empty).alias("lscd"))
+    return months.groupBy("y", "d", "f").agg(F.concat(
+        F.collect_list("month"), F.array(empty)).alias("lscd")).select("lscd")
 
 
 def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -366,7 +379,7 @@ def _b1_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.col("user_id").alias("person_id"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("player_slug"),
-        (F.col("user_id") % B.B1_TEAMS).alias("team_id"),
+        B.team_of("user_id").alias("team_id"),
         F.lit(None).cast("string").alias("position"))
 
 
@@ -397,27 +410,35 @@ def _b1_training(spark: SparkSession, sf_dir: str) -> DataFrame:
                              include_current=False, name_fmt=feat.ROLLING)
 
 
-def _b1_model(spark: SparkSession, sf_dir: str):
-    train, _ = M.split_by_date(_b1_training(spark, sf_dir), "ts", TRAIN_SPLIT)
-    return M.train_points(train, B1_FEATURES, label="value", max_iter=10, max_depth=4)
-
-
 def score_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1 + M2 + M3 + C7 + P11: train on earlier events, score the upcoming player-games,
-    seven output columns."""
-    model = _b1_model(spark, sf_dir)
+    """M1 + M2 + M3 + C7 + P11: train on all labelled events, score the upcoming player-games,
+    the seven output columns. A boosted tree's value has no SQL, so the last column says whether
+    the prediction is a finite number."""
+    model = M.train_points(_b1_training(spark, sf_dir), B1_FEATURES, label="value", max_iter=5,
+                           max_depth=3)
     scored = M.score(_b1_inputs(spark, sf_dir), model, B1_FEATURES)
     mapping = dict(PR.PREDICTION_COLUMNS, gameId="game_id", gameDate="game_date")
-    return PR.prediction_rows(scored, mapping).withColumn("gameDate", F.to_date("gameDate"))
+    out = PR.prediction_rows(scored, mapping).withColumn("gameDate", F.to_date("gameDate"))
+    finite = F.abs("predictedPoints") < float("inf")
+    return out.withColumn("predicted", F.coalesce(finite, F.lit(False))).drop("predictedPoints")
+
+
+def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: the feature vectors of the upcoming player-games, read back as one column each."""
+    inputs = PR.fill_features(_b1_inputs(spark, sf_dir), B1_FEATURES)
+    vectors = M.assemble(B1_FEATURES).transform(inputs)
+    values = vector_to_array(F.col(M.FEATURES))
+    return vectors.select("game_id", "person_id", *[
+        F.round(F.get(values, i), ROUND).alias(c) for i, c in enumerate(B1_FEATURES)])
 
 
 def evaluate_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4: rmse / mae / r2 on events after the split date (time split, no leakage)."""
-    data = _b1_training(spark, sf_dir)
-    train, test = M.split_by_date(data, "ts", TRAIN_SPLIT)
-    model = M.train_points(train, B1_FEATURES, label="value", max_iter=10, max_depth=4)
-    metrics = M.evaluate(M.score(test, model, B1_FEATURES), label="value")
-    return spark.createDataFrame([(k, v) for k, v in metrics.items()], "metric string, value double")
+    """M4: rmse, mae, r2 of a fixed predictor (the mean value of the player's ten events before)
+    on the events from the split date on: a time split, no leakage."""
+    data = win.rolling_means(B.events_box(spark, sf_dir), ["value"], "user_id", B1_ORDER,
+                             windows=(10,), include_current=False, name_fmt="prediction")
+    _, test = M.split_by_date(data, "ts", TRAIN_SPLIT)
+    return rounded(M.evaluate(test, label="value"))
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -431,59 +452,218 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_stream_ingest(spark, landing, events.schema, target, ckpt, ["event_id"], "event_day",
                       prepare=lambda df: df.withColumn("event_day", F.to_date("ts")),
                       max_files_per_trigger=4)
-    return spark.read.parquet(target).select(*events.columns)
+    return K.read_stored(spark, target).select(*events.columns)
 
 
-INGEST_FIRST_CUTOFF = "1997-01-01"
 
 
-def incremental_ingest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C9 on the driver's tables: ``orders`` as the schedule (``F`` = finished), ``lineitem``
-    rows as the landed per-game payload rows. Run 1 ingests the games finished before 1997
-    (the season so far); run 2 sees the whole schedule and ingests only games not stored yet
-    (J1), with schedule metadata (J2), committed by month partition with replace-by-key (K3).
-    The stored table ends up holding every line of every finished order."""
+AUDIT_TIME = dt.datetime(2024, 1, 1, 12, 0, 0)
+
+
+def _line_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` as the flat season schedule (C10 contract): ids of ten digits from ``002``,
+    several games a day, finished where the order is ``F``."""
+    o = table(spark, sf_dir, "orders")
+    return _filled(o.select(
+        F.concat(F.lit("0024"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
+        .alias("game_id"),
+        F.lit(True).alias("is_regular_season"), F.lit(False).alias("is_playoffs"),
+        F.col("o_orderpriority").alias("playoffs_desc"),
+        F.to_date("o_orderdate").alias("game_date"),
+        B.team_of("o_custkey").alias("home_team_id"),
+        (B.team_of("o_custkey") + B.B3_AWAY_OFFSET).alias("visitor_team_id"),
+        F.when(F.col("o_orderstatus") == "F", "3").otherwise("1").alias("game_status"),
+        F.col("o_orderstatus").alias("game_status_text")), SC.SEASON_SCHEDULE)
+
+
+def _land_lines(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """``lineitem`` as landed box-score payload lines, many games a file; the files of the order
+    keys that end in 7 also hold a broken record."""
+    li = table(spark, sf_dir, "lineitem")
+    row = {f.name: F.lit(None).cast(f.dataType) for f in SC.BASIC_PAYLOAD}
+    row |= {"gameId": F.concat(F.lit("0024"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0")),
+            "personId": F.col("l_partkey").cast("long"), "teamId": F.col("l_suppkey").cast("long"),
+            "points": F.col("l_quantity").cast("int"), "minutes": F.lit("12:30"),
+            "assists": F.col("l_linenumber").cast("int")}
+    ending = (F.col("l_orderkey") % 10).alias("ending")
+    lines = li.select(ending, F.to_json(F.struct(
+        *[c.cast(SC.BASIC_PAYLOAD[n].dataType).alias(n) for n, c in row.items()])).alias("value"))
+    lines.filter("ending <> 7").drop("ending").write.text(f"{path}/good")
+    lines.filter("ending = 7").select(F.explode(F.array("value", F.lit('{"gameId": "00'))).alias(
+        "value")).repartition(4).write.text(f"{path}/broken")
+
+
+def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C9 with S5, S6, D2, U2, J1, J2, K3, K4, K6: ``pipeline.incremental_ingest`` over JSON
+    payloads of all ``lineitem`` rows, first for the games before 1997, then for the whole
+    schedule. Rows of files with a broken record stay out, and their games new.
+
+    Returns the stored rows, and with ``personId`` 0 the counts of the second run as ``teamId``."""
     base = scratch_dir(spark, "ingest")
-    target = f"{base}/stored"
-    sched = (B.orders_schedule(spark, sf_dir)
-             .withColumn("game_month", F.trunc(F.col("game_date").cast("date"), "month")))
-    finals = G.finished(sched, "game_status", "F")
-    lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("game_id"), "l_linenumber", "l_partkey", "l_quantity",
-        "l_extendedprice")
-    meta = finals.select(F.col("game_id").alias("s_game_id"), "game_date", "game_month",
-                         "home_team_id", "away_team_id")
-
-    def run(schedule: DataFrame, stored: DataFrame | None) -> None:
-        todo = G.new_games(schedule, stored, "game_id", "game_id")
-        batch = lines.join(K.bounded_broadcast(todo.select("game_id"), derived=True),
-                           "game_id", "left_semi")
-        rows = H.with_schedule(batch, meta, "game_id", "s_game_id").drop("s_game_id")
-        K.commit_replace(spark, rows, target, ["game_id"], "game_month", audit=False)
-
-    run(G.games_between(finals, "game_date", "1900-01-01",
-                        (dt.date.fromisoformat(INGEST_FIRST_CUTOFF) - dt.date(1900, 1, 1)).days),
-        None)
-    run(finals, spark.read.parquet(target))
-    return spark.read.parquet(target).select(
-        "game_id", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "game_date",
-        "home_team_id", "away_team_id")
+    _land_lines(spark, sf_dir, f"{base}/landed")
+    season = _line_schedule(spark, sf_dir)
+    stored = f"{base}/stored"
+    for part in (season.filter(F.col("game_date") < "1997-01-01"), season):
+        counts, quarantine = PL.incremental_ingest(spark, part, stored, f"{base}/landed/*",
+                                                   ts=AUDIT_TIME)
+    rows = K.read_stored(spark, stored).select(
+        "gameId", "teamId", "personId", "points", "assists", "game_date", "home_team_id",
+        "visitor_team_id", "game_status_text",
+        F.date_format(SC.AUDIT_COLUMN, "yyyy-MM-dd HH:mm:ss").alias("loaded"))
+    counts["quarantined"] = quarantine.filter(F.col("gameId").isNotNull()).count()
+    extra = spark.createDataFrame([(k, v) for k, v in counts.items()], "gameId string, teamId long")
+    blank = {"personId": 0, "points": 0, "assists": 0, "home_team_id": 0, "visitor_team_id": 0,
+             "game_status_text": "", "loaded": ""}
+    return rows.unionByName(extra.withColumns(
+        {c: F.lit(v).cast(rows.schema[c].dataType) for c, v in blank.items()}
+        | {"game_date": F.lit("1900-01-01").cast("date")}))
+
+
+def commit_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + J8 + U3 + K5 on a stored table: all orders with a text day as partition value (NULL
+    for ``5-LOW``, with a colon for ``1-URGENT``, else with a leading zero); then open orders
+    come back finished on another day (also out of and into the NULL day) with a new column; then
+    a batch without rows."""
+    target = f"{scratch_dir(spark, 'commit')}/orders"
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority",
+                                              "o_totalprice")
+    def day(shift: int):
+        text = F.lpad(((F.col("o_orderkey") + shift) % 28).cast("string"), 2, "0")
+        low = (F.col("o_orderkey") + shift) % 5 == 0
+        return F.when(low, F.lit(None)).when(
+            F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("x:"), text)).otherwise(text)
+    K.commit_replace(spark, o.withColumn("day", day(0)), target, ["o_orderkey"], "day",
+                     audit=False)
+    back = o.filter("o_orderstatus = 'O'").withColumns(
+        {"o_orderstatus": F.lit("F"), "day": day(1), "note": F.lit("late")})
+    K.commit_replace(spark, back, target, ["o_orderkey"], "day", audit=False)
+    K.commit_replace(spark, back.limit(0), target, ["o_orderkey"], "day", audit=False)
+    return K.read_stored(spark, target)
+
+
+def read_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2 + S3 + P1 + P2 + P5: ``customer`` landed as an upper-case player index in CSV,
+    ``nation`` as the team list, ``orders`` as the league schedule, each read by its reader and
+    returned as (kind, id, text, day)."""
+    base = scratch_dir(spark, "dimensions")
+
+    def landed(df: DataFrame, schema: T.StructType, upper: bool, name: str) -> str:
+        full = _filled(df, schema)
+        K.write_csv(full.toDF(*[c.upper() for c in full.columns]) if upper else full,
+                    f"{base}/{name}")
+        return f"{base}/{name}"
+
+    c = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("person_id"), F.col("c_name").alias("player_slug"),
+        F.when(F.col("c_custkey") % 4 == 0, "").otherwise("G-F").alias("position"))
+    n = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("full_name"))
+    o = table(spark, sf_dir, "orders").select(
+        F.lpad(F.col("o_orderkey").cast("string"), 8, "2").alias("gameId"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("gameDate"),
+        F.col("o_orderstatus").alias("gameStatusText"))
+    players = RD.read_players(spark, landed(c, SC.PLAYERS, True, "players"), upper_case=True)
+    teams = RD.read_teams(spark, landed(n, SC.TEAMS, False, "teams"))
+    games = RD.read_schedule(spark, landed(o, SC.SCHEDULE, False, "schedule"))
+    none = F.lit(None).cast("date").alias("day")
+    return (players.select(F.lit("player").alias("kind"), F.col("person_id").cast("string")
+                           .alias("id"), F.concat_ws(" ", "player_slug", "position")
+                           .alias("text"), none)
+            .unionByName(teams.select(F.lit("team").alias("kind"), F.col("id").cast("string")
+                                      .alias("id"), F.col("full_name").alias("text"), none))
+            .unionByName(games.select(F.lit("game").alias("kind"), F.col("gameId").alias("id"),
+                                      F.col("gameStatusText").alias("text"),
+                                      F.to_date("gameDate").alias("day"))))
+
+
+def _filled(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """P1 for a binding that has only some of the contract's columns; the others are NULL."""
+    return PR.conform(df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema
+                                      if f.name not in df.columns}), schema)
+
+
+def _box_tables(spark: SparkSession, sf_dir: str) -> PL.Tables:
+    """B2 in the box-score contracts: a line row is a player's game (player ``l_partkey``, game
+    the order, played 12 minutes per unit of quantity), the advanced row its possessions."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    gid = F.concat(F.lit("00224"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0"))
+    box = li.join(o, li.l_orderkey == o.o_orderkey).groupBy(
+        gid.alias("gameId"), F.col("l_partkey").alias("personId")).agg(
+        F.first(B.team_of("l_partkey")).alias("teamId"),
+        F.first(B.team_of("l_partkey")).alias("home_team_id"),
+        F.first(B.team_of("o_custkey") + B.B3_AWAY_OFFSET).alias("visitor_team_id"),
+        F.first(F.to_date("o_orderdate")).alias("game_date"),
+        F.sum("l_quantity").cast("int").alias("points"),
+        F.sum("l_quantity").cast("int").alias("fieldGoalsMade"),
+        F.concat(F.sum("l_linenumber").cast("string"), F.lit(":30")).alias("minutes"),
+        F.max("l_returnflag").alias("flag"))
+    position = F.when(F.col("flag") == "N", "G").when(F.col("flag") == "R", "C")
+    basic = _filled(box.withColumn("position", position), SC.BOX_BASIC)
+    advanced = _filled(box.withColumns({
+        "possessions": F.col("points").cast("double") * 2}), SC.BOX_ADVANCED)
+    p = table(spark, sf_dir, "part")
+    players = _filled(p.select(
+        F.col("p_partkey").alias("person_id"), B.team_of("p_partkey").alias("team_id"),
+        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("player_slug"),
+        F.when(F.col("p_size") % 2 == 0, "G-F").otherwise("F-C").alias("position")), SC.PLAYERS)
+    schedule = _filled(o.filter(F.col("o_orderdate") >= "1998-01-01").select(
+        F.concat(F.lit("00224"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
+        .alias("gameId"), F.col("o_orderdate").cast("timestamp_ntz").alias("gameDate"),
+        B.team_of("o_custkey").alias("homeTeam_teamId"),
+        (B.team_of("o_custkey") + B.B3_AWAY_OFFSET).alias("awayTeam_teamId")), SC.SCHEDULE)
+    return PL.Tables(basic, advanced, players, schedule)
+
+
+def historical_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 (F4, J4, J5, P6, P7): the played box rows with player attributes and the advanced
+    columns."""
+    t = _box_tables(spark, sf_dir)
+    out = H.historical_stats(t.basic, t.advanced, t.players)
+    return out.select("gameId", "personId", "points", "minutes", "possessions",
+                      "position_player")
+
+
+# The event type that plays the literal bench position.
+B1_LEFT_OUT = "signup"
+
+
+def opponent_averages_without_bench(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F5 through ``opponent_averages``: rows of the literal group are left out."""
+    hist = _b1_history(spark, sf_dir)
+    return rounded(OPP.opponent_averages(hist, value="value", exclude_literal=B1_LEFT_OUT))
+
+
+def no_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a date without games gives no rows, not an error."""
+    return G.games_between(B.orders_schedule(spark, sf_dir), "game_date", "1900-01-01", 1)
+
+
+def transform_upcoming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C8 in the upcoming game's context: home flag and season of the game to come, the latest
+    rolling rates of each player."""
+    inputs, names = PL.transform(_box_tables(spark, sf_dir), "1998-01-05", days=30,
+                                 context="upcoming")
+    flags = [c for c in names if c.startswith(("is_home_", "season_"))]
+    return inputs.select("gameId", F.col("person_id").alias("personId"), *flags,
+                         F.round("fieldGoalsMade_per36_rolling_5", ROUND).alias("rolling_5"))
 
 
 def audit_and_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1 + K2 + K4 + K5 + K6 + S7 + S8 + S9: nation with an audit column written as CSV,
+    """K1 + K2 + K4 + K5 + S7 + S8 + S9: nation with an audit column written as CSV,
     read back with its schema, truncate-loaded as parquet, an empty batch committed (writes
     nothing), a missing table read as empty, and the parquet copy returned."""
     base = scratch_dir(spark, "audit")
     nation = table(spark, sf_dir, "nation")
-    stamped = K.with_audit(nation, dt.datetime(2024, 1, 1, 12, 0, 0))
+    stamped = K.with_audit(nation, AUDIT_TIME)
     K.write_csv(stamped, f"{base}/csv")
     back = RD.load_table(spark, f"{base}/csv", stamped.schema, fmt="csv")
     K.write_truncate(back, f"{base}/parquet")
     stored = RD.load_or_empty(spark, f"{base}/parquet", stamped.schema)
     empty = RD.load_or_empty(spark, f"{base}/missing", stamped.schema)
-    K.commit_replace(spark, empty, f"{base}/parquet", ["n_nationkey"], "n_regionkey")
-    return stored.unionByName(empty).select(*nation.columns)
+    K.commit_replace(spark, empty, f"{base}/commits", ["n_nationkey"], "n_regionkey")
+    return stored.unionByName(empty).select(
+        *nation.columns, F.date_format(SC.AUDIT_COLUMN, "yyyy-MM-dd HH:mm:ss").alias("loaded"))
 
 
 QUERIES = {
@@ -519,5 +699,12 @@ QUERIES = {
     "evaluate_points": evaluate_points,
     "stream_ingest": stream_ingest,
     "audit_and_write": audit_and_write,
-    "incremental_ingest_lines": incremental_ingest_lines,
+    "incremental_ingest": incremental_ingest,
+    "commit_replace": commit_replace,
+    "read_dimensions": read_dimensions,
+    "historical_stats": historical_stats,
+    "opponent_averages_without_bench": opponent_averages_without_bench,
+    "no_games": no_games,
+    "transform_upcoming": transform_upcoming,
+    "feature_matrix": feature_matrix,
 }
