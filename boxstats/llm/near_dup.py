@@ -16,7 +16,6 @@ of the sets (the whole sets of short texts) are similar too.
 from __future__ import annotations
 
 from functools import reduce
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +26,10 @@ from boxstats.llm.common import (documents_of, saved, small, window_hashes, word
                                  words_of)
 from boxstats.llm.components import connected_components
 
+PLANES = 32                                 # bits of a coordinate's value
+SIGNATURE = ("n", *[f"p{k}" for k in range(PLANES)])
+
+
 def shingles(text: str | None, width: int = 5) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the windows of ``width`` words (A-Z lower-cased); fewer
     words form one window; no words, no windows."""
@@ -54,6 +57,16 @@ def signature(hashes: np.ndarray, multiply: np.ndarray, plus: np.ndarray) -> np.
     return least.astype(np.uint32).view(np.int32)
 
 
+def bit_planes(signature: np.ndarray) -> np.ndarray:
+    """Plane k holds bit k of every coordinate, coordinate i at bit i: signatures are compared
+    with one exclusive or per plane."""
+    whole = np.zeros(64, np.int32)
+    whole[:len(signature)] = signature
+    bits = np.unpackbits(whole.view(np.uint8).reshape(64, 4), axis=1, bitorder="little")
+    return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view(
+        np.int64).ravel()
+
+
 def signatures(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
     """doc_id, n_shingles, two hashes of the whole set, and the signature (null without words)."""
     multiply, plus = multipliers(coordinates)
@@ -61,7 +74,7 @@ def signatures(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
     def run(batches):
         import xxhash
         for batch in batches:
-            sizes, first, second, keys = [], [], [], []
+            sizes, first, second, keys, planes = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingles(text, width)
                 sizes.append(len(found))
@@ -69,32 +82,37 @@ def signatures(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
                 first.append(np.uint64(xxhash.xxh3_64_intdigest(data)).astype(np.int64))
                 second.append(np.uint64(xxhash.xxh3_64_intdigest(data, 1)).astype(np.int64))
                 keys.append(signature(found, multiply, plus) if len(found) else None)
+                planes.append(bit_planes(keys[-1]) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
-                 pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int32()))],
-                names=["doc_id", "n_shingles", "h1", "h2", "keys"])
+                 pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int32())),
+                 pa.array(planes, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "h1", "h2", "keys", "planes"])
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, "
-                                "keys array<int>")
+                                "keys array<int>, planes array<long>")
 
 
-def equal_at(i: int) -> Column:
-    return F.get("keys_a", F.lit(i)) == F.get("keys_b", F.lit(i))
+def unequal(planes: int = PLANES) -> Column:
+    """Bit i is set where coordinate i of the signatures a and b differs in the first ``planes``
+    bits of its value."""
+    return reduce(lambda x, y: x.bitwiseOR(y), [
+        F.col(f"p{k}_a").bitwiseXOR(F.col(f"p{k}_b")) for k in range(planes)])
 
 
-def agreeing(coordinates: int) -> Column:
-    """How many coordinates of the signatures keys_a and keys_b are equal."""
-    return reduce(add, [equal_at(i).cast("int") for i in range(coordinates)])
+def agreeing(coordinates: int, matches: int) -> Column:
+    """At least ``matches`` coordinates are equal; four planes rule out most pairs."""
+    most = coordinates - matches
+    return (F.bit_count(unequal(4)) <= most) & (F.bit_count(unequal()) <= most)
 
 
-def first_common(coordinates: int, in_long: bool) -> Column:
-    """The first equal coordinate whose posting list is long (or is not): the one list of that
-    kind in which the pair is formed."""
-    out = F.when(F.lit(False), F.lit(0))
-    for i in range(coordinates):
-        bit = F.col("long_a").bitwiseAND(F.lit((1 << i) - (1 << 64) * (i == 63))) != 0
-        out = out.when(equal_at(i) & (bit if in_long else ~bit), F.lit(i))
-    return out
+def first_common(in_long: bool) -> Column:
+    """The list of key_a is the first of its kind (long or not) that the pair has in common. Equal
+    coordinates lie in the same list, so one side's marks tell the kind."""
+    kind = F.col("long_a") if in_long else F.bitwise_not("long_a")
+    earlier = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("key_a").bitwiseAND(
+        F.lit(255)).cast("int")) - 1
+    return F.bitwise_not(unequal()).bitwiseAND(kind).bitwiseAND(earlier) == 0
 
 
 def sketches(docs: DataFrame, ids: DataFrame, width: int, size: int) -> DataFrame:
@@ -178,11 +196,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     meta = saved(signatures(source, width, coordinates), "signatures")
     classes = saved(meta.where("n_shingles > 0 AND doc_id IS NOT NULL")
                     .groupBy("n_shingles", "h1", "h2")
-                    .agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")), "classes")
+                    .agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"),
+                         F.first("planes").alias("planes")), "classes")
     ids = classes.select("n_shingles", "h1", "h2", "rep")
-    one = classes.groupBy("rep").agg(F.max(F.struct("n_shingles", "keys")).alias("s"))
+    one = classes.groupBy("rep").agg(F.max(F.struct("n_shingles", "keys", "planes")).alias("s"))
     one = saved(one.select(F.col("rep").alias("doc"), F.col("s.n_shingles").alias("n"),
-                           F.col("s.keys").alias("keys")), "reps")
+                           "s.keys", *[F.get("s.planes", F.lit(k)).alias(f"p{k}")
+                                       for k in range(PLANES)]), "reps")
     if coordinates > 64:
         raise ValueError("at most 64 coordinates")
 
@@ -197,8 +217,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     last = F.coalesce(F.col("long_keys"), F.array().cast("array<long>"))
     bits = F.aggregate(last, F.lit(0).cast("long"), lambda m, k: m.bitwiseOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(255)).cast("int"))))
-    signed = saved(one.join(in_long, "doc", "left").select("doc", "n", "keys", bits.alias("long")),
-                   "signed")
+    signed = saved(one.join(in_long, "doc", "left").select("doc", "n", "keys", *SIGNATURE[1:], bits.alias("long")), "signed")
     pieces = F.transform(coded, lambda k, i: F.struct(
         k.alias("key"), (F.call_function("shiftright", F.col("long"), i).bitwiseAND(F.lit(1)) == 1)
         .alias("in_long")))
@@ -212,9 +231,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def matching(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose sizes fit and whose signatures agree often enough."""
-        a, b = (side(x, signed, "doc", "n", "keys") for x in "ab")
+        a, b = (side(x, signed, "doc", *SIGNATURE) for x in "ab")
         return (pairs.join(a, pairs.a == a.doc_a).join(b, pairs.b == b.doc_b)
-                .where(like_sizes("n_a", "n_b", percent) & (agreeing(coordinates) >= matches))
+                .where(like_sizes("n_a", "n_b", percent) & agreeing(coordinates, matches))
                 .select("a", "b"))
 
     heads = saved(postings.groupBy("key").agg(F.min("doc").alias("head"), F.count("*").alias("n"))
@@ -235,11 +254,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = saved(labelled.join(open_keys, "key", "left_semi"), "open")
 
     def crossing(lists: DataFrame, in_long: bool, *more: str) -> DataFrame:
-        columns = ("key", "doc", "label", "n", "keys", "long", *more)
-        a, b = (side(x, lists, *columns) for x in "ab")
-        once = (F.col("key_a").bitwiseAND(F.lit(255)) == first_common(coordinates, in_long))
+        a, b = (side(x, lists, "key", "doc", "label", *SIGNATURE, "long", *more) for x in "ab")
         test = ((F.col("key_a") == F.col("key_b")) & (F.col("label_a") < F.col("label_b"))
-                & like_sizes("n_a", "n_b", percent) & (agreeing(coordinates) >= matches) & once)
+                & like_sizes("n_a", "n_b", percent) & agreeing(coordinates, matches)
+                & first_common(in_long))
         if more:
             test = test & sketch_similar(percent, sketch)
         return a.join(b, test).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
