@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxstats.llm.common import SPACE, saved
+from boxstats.llm.common import BROADCAST_ROWS, SPACE, saved
 
 GAPS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -126,10 +126,13 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .select("host", "t", F.col("line.h").alias("h")).distinct()
                .groupBy("host", "h").agg(F.count("*").alias("n"))
                .where(F.col("n") > min_documents))
-    frequent = (counted.join(per_host, "host")
-                .where(F.col("n") * 100 > F.col("n_texts") * max_percent)
-                .groupBy("host").agg(F.collect_list("h").alias("frequent")))
-    joined = measured.join(frequent, "host", "left")
+    lines = saved(counted.join(per_host, "host")
+                  .where(F.col("n") * 100 > F.col("n_texts") * max_percent)
+                  .select("host", "h"), "frequent")
+    frequent = saved(lines.groupBy("host").agg(F.collect_list("h").alias("frequent")), "frequent")
+    # Few lines are broadcast; else the join splits the rows of a large host.
+    few = lines.count() <= BROADCAST_ROWS
+    joined = measured.join(F.broadcast(frequent) if few else frequent, "host", "left")
     removed = F.coalesce(let(F.col("frequent"), lambda f: total(F.transform(F.filter(
         F.col("lines"), lambda x: F.array_contains(f, x["h"])), lambda x: x["n"].cast("long")))),
         F.lit(0).cast("long"))
