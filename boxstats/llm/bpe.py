@@ -18,17 +18,16 @@ from boxstats.llm.tokens import PieceCache
 class RankQueue:
     """Smallest rank first, leftmost position first within a rank.
 
-    One bucket of positions per rank; bit ``r`` of the lowest bitmap says that bucket ``r`` is not
-    empty, a bit of each higher bitmap that a word below it is not zero. Finding the next rank is
-    one find-first-set per level, whatever the number of entries.
+    One bucket of positions per rank. Bit ``r`` of the words ``low`` says that bucket ``r`` is not
+    empty, bit ``w`` of ``top`` that word ``w`` is not zero. Finding the next rank is two
+    find-first-sets, whatever the number of entries. Words are 256 bits wide, ``top``
+    holds a bit per 256 ranks.
     """
 
     def __init__(self, ranks: int):
         self.buckets: dict[int, list[int]] = {}
-        self.levels, n = [], ranks
-        while not self.levels or n > 1:
-            n = (n + 63) >> 6
-            self.levels.append([0] * n)
+        self.low = [0] * ((ranks >> 8) + 1)
+        self.top = 0
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
@@ -36,31 +35,24 @@ class RankQueue:
             heappush(bucket, position)
             return
         self.buckets[rank] = [position]
-        for level in self.levels:
-            word = rank >> 6
-            before = level[word]
-            level[word] = before | 1 << (rank & 63)
-            if before:
-                break
-            rank = word
+        word = rank >> 8
+        self.low[word] |= 1 << (rank & 255)
+        self.top |= 1 << word
 
     def pop(self) -> tuple[int, int]:
-        rank = 0
-        for level in reversed(self.levels):
-            bits = level[rank]
-            rank = rank << 6 | (bits & -bits).bit_length() - 1
+        top = self.top
+        word = (top & -top).bit_length() - 1
+        bits = self.low[word]
+        first = bits & -bits
+        rank = word << 8 | first.bit_length() - 1
         bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            at = rank
-            for level in self.levels:
-                word = at >> 6
-                level[word] &= ~(1 << (at & 63))
-                if level[word]:
-                    break
-                at = word
-        return rank, position
+        if len(bucket) > 1:
+            return rank, heappop(bucket)
+        del self.buckets[rank]
+        self.low[word] = bits = bits ^ first
+        if not bits:
+            self.top = top ^ 1 << word
+        return rank, bucket[0]
 
 
 class BytePairEncoder:
@@ -78,36 +70,34 @@ class BytePairEncoder:
         """Ids of one pre-token. The parts form a linked list of start positions; ``pair[i]`` is
         the rank of joining the part at ``i`` with its successor. An entry of the queue is stale
         if its position has another rank by now."""
-        whole = self.ranks.get(piece)
+        rank_of, queue, n = self.ranks.get, self.queue, len(piece)
+        whole = rank_of(piece)
         if whole is not None:
             return [whole]
-        rank_of, queue, n = self.ranks.get, self.queue, len(piece)
-        after, before = list(range(1, n + 2)), list(range(-1, n))
-        pair = [-1] * n
-        for i in range(n - 1):
-            rank = rank_of(piece[i:i + 2])
+        push, pop, waiting = queue.push, queue.pop, queue.buckets
+        after, before = [*range(1, n + 2)], [*range(-1, n)]
+        pair: list[int | None] = [rank_of(piece[i:i + 2]) for i in range(n - 1)]
+        pair.append(None)
+        for i, rank in enumerate(pair):
             if rank is not None:
-                pair[i] = rank
-                queue.push(rank, i)
-        while queue.buckets:
-            rank, i = queue.pop()
+                push(rank, i)
+        while waiting:
+            rank, i = pop()
             if pair[i] != rank:
                 continue
             gone = after[i]
             end = after[i] = after[gone]
-            pair[gone] = pair[i] = -1
+            pair[gone] = pair[i] = None
             if end < n:
                 before[end] = i
-                rank = rank_of(piece[i:after[end]])
+                rank = pair[i] = rank_of(piece[i:after[end]])
                 if rank is not None:
-                    pair[i] = rank
-                    queue.push(rank, i)
+                    push(rank, i)
             left = before[i]
             if left >= 0:
-                rank = rank_of(piece[left:end])
-                pair[left] = -1 if rank is None else rank
+                rank = pair[left] = rank_of(piece[left:end])
                 if rank is not None:
-                    queue.push(rank, left)
+                    push(rank, left)
         ids, i = [], 0
         while i < n:
             ids.append(self.ranks[piece[i:after[i]]])
