@@ -76,7 +76,7 @@ def test_rank_queue_pops_by_rank_then_position():
     for entry in entries:
         queue.push(*entry)
     assert [queue.pop() for _ in entries] == sorted(entries) and not queue.buckets
-    assert all(not any(level) for level in queue.levels)
+    assert not any(queue.low) and not queue.top
 
 
 def test_token_counts_of_hard_cases(spark):
