@@ -110,8 +110,8 @@ def first_common(in_long: bool) -> Column:
     """The list of key_a is the first of its kind (long or not) that the pair has in common. Equal
     coordinates lie in the same list, so one side's marks tell the kind."""
     kind = F.col("long_a") if in_long else F.bitwise_not("long_a")
-    earlier = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("key_a").bitwiseAND(
-        F.lit(255)).cast("int")) - 1
+    earlier = F.bitwise_not(F.call_function("shiftleft", F.lit(-1).cast("long"), F.col(
+        "key_a").bitwiseAND(F.lit(255)).cast("int")))
     return F.bitwise_not(unequal()).bitwiseAND(kind).bitwiseAND(earlier) == 0
 
 
