@@ -104,6 +104,29 @@ def test_match_threshold_misses_little():
     assert misses <= 5
 
 
+def test_a_pair_is_formed_in_its_first_common_list_of_a_kind(spark):
+    rng, rows, want = np.random.default_rng(8), [], []
+    for k in range(200):
+        a = rng.integers(-2**31, 2**31, 64).astype(np.int32)
+        b = np.where(rng.random(64) < rng.choice([0.02, 0.6]), a,
+                     rng.integers(-2**31, 2**31, 64)).astype(np.int32)
+        b[63 if k % 2 else k % 63] = a[63 if k % 2 else k % 63]
+        long = int(rng.integers(-2**63, 2**63 - 1))
+        for at in np.flatnonzero(a == b).tolist():
+            mine = [i for i in np.flatnonzero(a == b).tolist()
+                    if (long >> i & 1) == (long >> at & 1)]
+            rows.append((len(rows), (7 << 8) | at, long, *near_dup.bit_planes(a).tolist(),
+                         *near_dup.bit_planes(b).tolist()))
+            want.append((mine[0] == at, bool(long >> at & 1), int((a == b).sum()) >= 36))
+    names = [f"p{k}_{x} long" for x in "ab" for k in range(32)]
+    df = spark.createDataFrame(rows, "id long, key_a long, long_a long, " + ", ".join(names))
+    got = df.select("id", near_dup.first_common(True).alias("long"),
+                    near_dup.first_common(False).alias("short"),
+                    near_dup.agreeing(64, 36).alias("agree")).orderBy("id").collect()
+    for r, (first, in_long, agree) in zip(got, want):
+        assert (r.long if in_long else r.short) == first and r.agree == agree
+
+
 @pytest.mark.parametrize("kind", ["long", "string"])
 def test_connected_components(spark, kind):
     rng = random.Random(1)
