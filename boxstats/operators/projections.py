@@ -22,11 +22,6 @@ def lower_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """P3."""
-    return df.withColumnsRenamed(mapping)
-
-
 _DATE_START = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 
 
@@ -50,11 +45,6 @@ def fill_features(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumns({c: finite_or_zero(c) for c in names})
 
 
-def dedup(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """U4: whole-row distinct, or one row per key with ``cols``."""
-    return df.distinct() if not cols else df.dropDuplicates(list(cols))
-
-
 # Output contract of the predictions table: target name -> source column (fixed values).
 PREDICTION_COLUMNS = {
     "gameId": "gameId",

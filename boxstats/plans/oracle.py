@@ -597,6 +597,49 @@ SELECT position_group, opponent,
 FROM a
 """
 
+OPPONENT_AVERAGES_BEFORE = f"""
+WITH {_B2},
+d AS (
+  SELECT position_group, opponent, game_date, avg(points) AS m FROM b2
+  WHERE position_group IS NOT NULL AND opponent IS NOT NULL AND game_date IS NOT NULL
+  GROUP BY ALL
+)
+SELECT position_group, opponent, game_date,
+  round(avg(m) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) + 3.7e-9, {R})
+    AS avg_pts_opp_position_last_10,
+  round(avg(m) OVER (w ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) + 3.7e-9, {R})
+    AS avg_pts_opp_position_last_20,
+  round(avg(m) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 3.7e-9, {R})
+    AS avg_pts_opp_position_all
+FROM d WINDOW w AS (PARTITION BY position_group, opponent ORDER BY game_date)
+"""
+
+TRAINING_FRAME = f"""
+WITH {_BOX},
+h AS (
+  SELECT gid, pid, day, points, lines + 0.5::DOUBLE AS mins, points * 2.0::DOUBLE AS poss,
+         coalesce(pos, CASE WHEN p_size % 2 = 0 THEN 'G' ELSE 'F' END) AS grp, away AS rival
+  FROM box JOIN (
+    SELECT '00224' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') AS gid, l_partkey AS pid,
+           CASE max(l_returnflag) WHEN 'N' THEN 'G' WHEN 'R' THEN 'C' END AS pos,
+           min(o_custkey // 15 + 7) AS away
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_partkey
+  ) USING (gid, pid) LEFT JOIN part ON pid = p_partkey
+),
+d AS (SELECT grp, rival, day, avg(points) AS m FROM h GROUP BY ALL),
+b AS (SELECT grp, rival, day, avg(m) OVER (PARTITION BY grp, rival ORDER BY day
+                                           ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS m10
+      FROM d)
+SELECT gid AS "gameId", pid AS "personId", points,
+  round(avg(points / mins * 36) OVER (w ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), {R})
+    AS rolling_5,
+  round(avg(points / nullif(poss, 0)) OVER (w ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), {R})
+    AS per_poss_20,
+  round(m10 / lag(mins) OVER w * 36, {R}) AS opponent_10
+FROM h JOIN b USING (grp, rival, day)
+WINDOW w AS (PARTITION BY pid ORDER BY day, gid)
+"""
+
 NO_GAMES = f"SELECT {_B3_COLS} FROM orders WHERE o_orderdate < TIMESTAMP '1900-01-02'"
 
 FEATURE_MATRIX = "SELECT game_id, person_id, " + ", ".join(
@@ -658,6 +701,8 @@ ORACLE = {
     "read_dimensions": READ_DIMENSIONS,
     "historical_stats": HISTORICAL_STATS,
     "opponent_averages_without_bench": OPPONENT_AVERAGES_WITHOUT_BENCH,
+    "opponent_averages_before": OPPONENT_AVERAGES_BEFORE,
+    "training_frame": TRAINING_FRAME,
     "no_games": NO_GAMES,
     "transform_upcoming": TRANSFORM_UPCOMING,
     "feature_matrix": FEATURE_MATRIX,

@@ -634,6 +634,25 @@ def opponent_averages_without_bench(spark: SparkSession, sf_dir: str) -> DataFra
     return rounded(OPP.opponent_averages(hist, value="value", exclude_literal=B1_LEFT_OUT))
 
 
+def opponent_averages_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1-A3 as of each date on B2: averages over earlier dates only, for training rows."""
+    daily = OPP.daily_group_mean(B.order_supplier_points(spark, sf_dir),
+                                 ["position_group", "opponent"], "game_date", "points")
+    out = OPP.averages_before(daily, ["position_group", "opponent"], "game_date")
+    # Many of these means end exactly on a half of the last place kept: nudge them off it.
+    means = [c for c in out.columns if c.startswith(OPP.AVG_PREFIX)]
+    return rounded(out.withColumns({c: F.col(c) + 3.7e-9 for c in means}))
+
+
+def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 + C3 + C4 + C5 over the full history, from earlier games only."""
+    rows, _ = PL.training_frame(_box_tables(spark, sf_dir))
+    return rounded(rows.select(
+        "gameId", "personId", "points", F.col("fieldGoalsMade_per36_rolling_5").alias("rolling_5"),
+        F.col("fieldGoalsMade_per_poss_rolling_20").alias("per_poss_20"),
+        F.col("avg_pts_opp_position_last_10_per36").alias("opponent_10")))
+
+
 def no_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """a date without games gives no rows, not an error."""
     return G.games_between(B.orders_schedule(spark, sf_dir), "game_date", "1900-01-01", 1)
@@ -704,6 +723,8 @@ QUERIES = {
     "read_dimensions": read_dimensions,
     "historical_stats": historical_stats,
     "opponent_averages_without_bench": opponent_averages_without_bench,
+    "opponent_averages_before": opponent_averages_before,
+    "training_frame": training_frame,
     "no_games": no_games,
     "transform_upcoming": transform_upcoming,
     "feature_matrix": feature_matrix,
