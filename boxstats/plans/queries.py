@@ -641,7 +641,7 @@ def opponent_averages_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = OPP.averages_before(daily, ["position_group", "opponent"], "game_date")
     # Many of these means end exactly on a half of the last place kept: nudge them off it.
     means = [c for c in out.columns if c.startswith(OPP.AVG_PREFIX)]
-    return rounded(out.withColumns({c: F.col(c) + 3.7e-9 for c in means}))
+    return rounded(out.withColumns({c: F.col(c) + 3.15e-9 for c in means}))
 
 
 def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
