@@ -605,11 +605,11 @@ d AS (
   GROUP BY ALL
 )
 SELECT position_group, opponent, game_date,
-  round(avg(m) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) + 3.15e-9, {R})
+  round(avg(m) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) + 3.14159265e-4, 2)
     AS avg_pts_opp_position_last_10,
-  round(avg(m) OVER (w ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) + 3.15e-9, {R})
+  round(avg(m) OVER (w ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) + 3.14159265e-4, 2)
     AS avg_pts_opp_position_last_20,
-  round(avg(m) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 3.15e-9, {R})
+  round(avg(m) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 3.14159265e-4, 2)
     AS avg_pts_opp_position_all
 FROM d WINDOW w AS (PARTITION BY position_group, opponent ORDER BY game_date)
 """

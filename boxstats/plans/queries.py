@@ -639,9 +639,10 @@ def opponent_averages_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = OPP.daily_group_mean(B.order_supplier_points(spark, sf_dir),
                                  ["position_group", "opponent"], "game_date", "points")
     out = OPP.averages_before(daily, ["position_group", "opponent"], "game_date")
-    # Many of these means end exactly on a half of the last place kept: nudge them off it.
+    # Cents: sliding sums differ in the tenth place, and many means end exactly on half a cent,
+    # from which they are nudged away.
     means = [c for c in out.columns if c.startswith(OPP.AVG_PREFIX)]
-    return rounded(out.withColumns({c: F.col(c) + 3.15e-9 for c in means}))
+    return rounded(out.withColumns({c: F.col(c) + 3.14159265e-4 for c in means}), 2)
 
 
 def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
