@@ -30,25 +30,27 @@ def _star(arcs: DataFrame, large: bool) -> DataFrame:
     return saved(moved.distinct(), "edges")
 
 
+def _fingerprint(arcs: DataFrame) -> tuple:
+    """Number of edges and sum of their hashes."""
+    return tuple(arcs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, component) for every node on an edge; the component is its smallest node.
 
     Ids may be of any ordered type. Edges with a null end are ignored, loops and repeated edges
     are harmless, no edges give no rows.
     """
-    arcs = saved(edges.select(F.col(u).alias("u"), F.col(v).alias("v"))
-                 .where("u <> v").distinct(), "edges")
+    arcs = saved(edges.where(F.col(u) != F.col(v)).select(
+        F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct(), "edges")
     nodes = arcs.select(F.col("u").alias("node")).union(arcs.select("v")).distinct()
-    while True:
-        moved = _star(_star(arcs, large=True), large=False)
+    mark = _fingerprint(arcs)
+    while mark[0]:
         # Stars are a fixed point: stop once a round keeps the edges as they are.
-        was, now = (e.agg(F.count("*").alias("n"), F.coalesce(
-            F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0)).alias("s")).first()
-            for e in (arcs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")),
-                      moved))
-        arcs = moved
-        if was == now:
+        arcs, before = _star(_star(arcs, large=True), large=False), mark
+        mark = _fingerprint(arcs)
+        if mark == before:
             break
-    stars = arcs.select(F.greatest("u", "v").alias("node"), F.least("u", "v").alias("root"))
+    stars = arcs.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return (nodes.join(stars, "node", "left")
             .select("node", F.coalesce("root", "node").alias("component")))

@@ -129,18 +129,15 @@ def sketches(docs: DataFrame, ids: DataFrame, width: int, size: int) -> DataFram
 
 
 def sketch_similar(percent: int, size: int) -> Column:
-    """Exact where both sketches are whole sets; else the similarity of the parts below the
-    smaller end, at 10 points less (four standard errors of 256 samples)."""
-    cut_a, cut_b = (F.when(F.col(f"n_{x}") > size, F.element_at(f"sketch_{x}", -1)) for x in "ab")
-    cut = F.coalesce(F.least(cut_a, cut_b), F.lit((1 << 63) - 1))
-
-    def below(x: str) -> Column:
-        return F.when(F.element_at(f"sketch_{x}", -1) <= cut, F.size(f"sketch_{x}")).otherwise(
-            F.size(F.filter(f"sketch_{x}", lambda v: v <= cut)))
+    """Exact where both sketches are whole sets. Else: what both sets share among the ``size``
+    smallest hashes of their union is in both sketches, about ``percent`` % of ``size`` for sets as
+    similar as that; four standard errors less are asked for."""
     both = F.size(F.array_intersect("sketch_a", "sketch_b"))
-    least = F.when((F.col("n_a") <= size) & (F.col("n_b") <= size), percent).otherwise(
-        percent - 10)
-    return both * 100 >= (below("a") + below("b") - both) * least
+    share = percent / 100
+    least = int(size * share - 4 * (size * share * (1 - share)) ** 0.5)
+    return F.when((F.col("n_a") <= size) & (F.col("n_b") <= size),
+                  both * 100 >= (F.col("n_a") + F.col("n_b") - both) * percent).otherwise(
+        both >= least)
 
 
 def like_sizes(a: str, b: str, percent: int) -> Column:
@@ -263,16 +260,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return a.join(b, test).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
 
     short = crossing(rest.where("NOT in_long").join(signed, "doc"), False)
-    crowd = saved(rest.where("in_long"), "open-long")
+    crowd = rest.where("in_long")
     ids_in_crowd = saved(crowd.select(F.col("doc").alias("doc_id")).distinct(), "ids")
     drawn = saved(sketches(source, ids_in_crowd, width, sketch), "sketches")
     crowded = crossing(crowd.join(signed, "doc").join(drawn, F.col("doc") == F.col("id")), True,
                        "sketch")
     crossing_pairs = saved(short.unionByName(crowded).distinct(), "open-pairs")
-    more = saved(confirmed(crossing_pairs, source, width, percent), "links")
     component = label
-    if not more.isEmpty():
-        component = saved(connected_components(links.union(more), "a", "b"), "labels")
+    if not crossing_pairs.isEmpty():
+        more = saved(confirmed(crossing_pairs, source, width, percent), "links")
+        if not more.isEmpty():
+            stars = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            component = saved(connected_components(stars.union(more), "a", "b"), "labels")
 
     found = (meta.select("doc_id", "n_shingles", "h1", "h2")
              .join(ids, ["n_shingles", "h1", "h2"], "left")
