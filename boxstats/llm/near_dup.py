@@ -246,18 +246,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .join(label, F.col("doc") == F.col("node"), "left")
                 .select("key", "in_long", "doc", F.coalesce("component", "doc").alias("label")))
     labelled = saved(labelled, "labelled")
-    open_keys = (labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m"))
-                 .where("l <> m").select("key"))
-    rest = saved(labelled.join(open_keys, "key", "left_semi"), "open")
+    # Of each open list the component with most members: its members need no partner among
+    # themselves, so one side of the join is the list without them.
+    open_keys = (labelled.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key")
+                 .agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels"))
+                 .where("labels > 1").select("key", F.col("most.label").alias("main")))
+    rest = saved(labelled.join(open_keys, "key"), "open")
 
     def crossing(lists: DataFrame, in_long: bool, *more: str) -> DataFrame:
-        a, b = (side(x, lists, "key", "doc", "label", *SIGNATURE, "long", *more) for x in "ab")
-        test = ((F.col("key_a") == F.col("key_b")) & (F.col("label_a") < F.col("label_b"))
+        a, b = (side(x, lists, "key", "doc", "label", "main", *SIGNATURE, "long", *more)
+                for x in "ab")
+        a = a.where("label_a <> main_a")
+        test = ((F.col("key_a") == F.col("key_b"))
+                & ((F.col("label_b") == F.col("main_b")) | (F.col("label_a") < F.col("label_b")))
                 & like_sizes("n_a", "n_b", percent) & agreeing(coordinates, matches)
                 & first_common(in_long))
         if more:
             test = test & sketch_similar(percent, sketch)
-        return a.join(b, test).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
+        return a.join(b, test).select(F.least("doc_a", "doc_b").alias("a"),
+                                      F.greatest("doc_a", "doc_b").alias("b"))
 
     short = crossing(rest.where("NOT in_long").join(signed, "doc"), False)
     crowd = rest.where("in_long")
