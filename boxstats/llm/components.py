@@ -13,21 +13,26 @@ from pyspark.sql import functions as F
 from boxstats.llm.common import saved
 
 
-def _star(arcs: DataFrame, large: bool) -> DataFrame:
+# Edges per task: a small graph does not need a task for every shuffle partition.
+EDGES_PER_TASK = 250_000
+
+
+def _star(arcs: DataFrame, large: bool, tasks: int) -> DataFrame:
     """One step over arcs (u, v). large: neighbours above u go to the smallest of u and its
     neighbours. small: u and its neighbours below go to the smallest of them."""
     if large:
         both = arcs.unionByName(arcs.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = arcs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = saved(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "star")
+    least = saved(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+                  .coalesce(tasks), "star")
     joined = both.join(least, "u")
     if large:
         moved = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         moved = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v"))
-    return saved(moved.distinct(), "edges")
+    return saved(moved.distinct().coalesce(tasks), "edges")
 
 
 def _fingerprint(arcs: DataFrame) -> tuple:
@@ -47,7 +52,8 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     mark = _fingerprint(arcs)
     while mark[0]:
         # Stars are a fixed point: stop once a round keeps the edges as they are.
-        arcs, before = _star(_star(arcs, large=True), large=False), mark
+        tasks, before = 1 + mark[0] // EDGES_PER_TASK, mark
+        arcs = _star(_star(arcs, True, tasks), False, tasks)
         mark = _fingerprint(arcs)
         if mark == before:
             break
