@@ -27,6 +27,7 @@ from boxstats.llm.common import (documents_of, saved, small, window_hashes, word
 from boxstats.llm.components import connected_components
 
 PLANES = 32                                 # bits of a coordinate's value
+LIST_BLOCK = 2048                           # members of a long list that one task pairs
 SIGNATURE = ("n", *[f"p{k}" for k in range(PLANES)])
 
 
@@ -249,12 +250,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Of each open list the component with most members: its members need no partner among
     # themselves, so one side of the join is the list without them.
     open_keys = (labelled.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key")
-                 .agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels"))
-                 .where("labels > 1").select("key", F.col("most.label").alias("main")))
+                 .agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"))
+                 .where("n > most.n")
+                 .select("key", F.col("most.label").alias("main"),
+                         (1 + F.floor((F.col("n") - F.col("most.n")) / LIST_BLOCK)).cast("int")
+                         .alias("blocks")))
     rest = saved(labelled.join(open_keys, "key"), "open")
 
     def crossing(lists: DataFrame, in_long: bool, *more: str) -> DataFrame:
-        a, b = (side(x, lists, "key", "doc", "label", "main", *SIGNATURE, "long", *more)
+        a, b = (side(x, lists, "key", "doc", "label", "main", "blocks", *SIGNATURE, "long",
+                     *more)
                 for x in "ab")
         a = a.where("label_a <> main_a")
         test = ((F.col("key_a") == F.col("key_b"))
@@ -262,7 +267,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 & like_sizes("n_a", "n_b", percent) & agreeing(coordinates, matches)
                 & first_common(in_long))
         if more:
-            test = test & sketch_similar(percent, sketch)
+            # The side without the main component in blocks, the other once for each of them: a
+            # task compares one block with one list, however long the list is.
+            a = a.withColumn("block", F.pmod(F.xxhash64("doc_a"), F.col("blocks_a")).cast("int"))
+            b = b.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks_b") - 1)))
+            a, b = a.repartition("key_a", "block"), b.repartition("key_b", "block")
+            test = test & (a.block == b.block) & sketch_similar(percent, sketch)
         return a.join(b, test).select(F.least("doc_a", "doc_b").alias("a"),
                                       F.greatest("doc_a", "doc_b").alias("b"))
 
