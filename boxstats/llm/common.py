@@ -22,10 +22,12 @@ MULTIPLIER = 0x9E3779B97F4A7C15          # odd, so it has an inverse modulo 2**6
 
 def worker_state(key, make: Callable):
     """``make()`` once per Python worker. The functions here are pickled by value, so a module
-    global would start empty in every task; this table lives as long as the process."""
+    global would start empty in every task; this table lives as long as the process. It holds one
+    entry: the caches of an earlier operator or model make way for those of the next."""
     state = sys.modules.setdefault("_boxstats_llm_state", types.ModuleType("_boxstats_llm_state"))
     table = state.__dict__.setdefault("table", {})
     if key not in table:
+        table.clear()
         table[key] = make()
     return table[key]
 
