@@ -22,9 +22,9 @@ LEAST_LANGUAGE_SCORE = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without letters and those whose language stays doubtful. The label column is
     used to fit the model only."""
-    found = lang_id.identify(docs, lang_id.fit(docs), carry=COLUMNS)
+    found = lang_id.identify(docs, lang_id.fit(docs), carry=COLUMNS[2:])
     sure = (F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return found.where(sure).select("carried.*")
+    return found.where(sure).select("doc_id", "text", "carried.*")
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
