@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxstats.llm.common import BROADCAST_ROWS, SPACE, saved
+from boxstats.llm.common import SPACE, saved, small
 
 GAPS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -94,20 +94,21 @@ def line_structs(text: Column) -> Column:
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             host_col: str = "source", min_words: int = 10, max_repeat_percent: int = 20,
-            min_documents: int = 20, max_percent: int = 5,
+            min_documents: int = 20, max_percent: int | None = 5,
             min_left_percent: int = 20, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the base measures, base_failed, n_removed_words, kept: one row per input row. With
     ``carry``, also clean_text (without the removed lines) and those columns as a struct carried.
 
     A line is boilerplate if, in its host, more than ``min_documents`` different texts and more
-    than ``max_percent`` % of all different texts have it (copies of a text count once). Its words
-    are removed; a document left with fewer than ``min_words`` words, or with less than
-    ``min_left_percent`` % of them, is depleted and not kept. Null and empty texts have no words and
-    fail the base rules; a null host is a host of its own; repeated rows are judged each.
-
-    Lines are counted by two grouped counts (combined map-side; no group is collected). At most
-    ``100 / max_percent`` times the lines of a document pass the limit in a host, so the limit also
-    bounds the list joined back per host.
+    than ``max_percent`` % of all different texts have it (copies of a text count once); with
+    ``max_percent`` None the number of texts alone decides, so the limit does not loosen with the
+    host. Its words are removed; a document left with fewer than ``min_words`` words, or with less
+    than ``min_left_percent`` % of them, is depleted and not kept. Null and empty texts have no
+    words and fail the base rules; a null host is a host of its own; repeated rows are judged each.
+
+    Lines are counted by two grouped counts (combined map-side; no group is collected). The
+    frequent ones meet the lines of the documents by host and hash, however many a host has; a
+    document gathers only its own.
     """
     text = F.col("text")
     host = F.coalesce(F.col(host_col).cast("string"), F.lit("\x00"))
@@ -115,27 +116,32 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                          F.col(text_col).cast("string").alias("text"), host.alias("host"), *extra)
     # Measured once: the lines feed the counts and the verdicts. No text unless it is carried.
+    # Ids may repeat, so a row has a number, fixed by the writing.
     measured = saved(source.select(
+        F.monotonically_increasing_id().alias("row"),
         "doc_id", "host", F.xxhash64("text").alias("t"), line_structs(text).alias("lines"),
         *[c.alias(n) for n, c in base_columns(text).items()],
         *(["text", "carried"] if carry else [])), "measures")
     texts = measured.select("host", "t", "lines")
-    per_host = (texts.select("host", "t").distinct().groupBy("host")
-                .agg(F.count("*").alias("n_texts")))
     counted = (texts.select("host", "t", F.explode("lines").alias("line"))
                .select("host", "t", F.col("line.h").alias("h")).distinct()
                .groupBy("host", "h").agg(F.count("*").alias("n"))
                .where(F.col("n") > min_documents))
-    lines = saved(counted.join(per_host, "host")
-                  .where(F.col("n") * 100 > F.col("n_texts") * max_percent)
-                  .select("host", "h"), "frequent")
-    frequent = saved(lines.groupBy("host").agg(F.collect_list("h").alias("frequent")), "frequent")
-    # Few lines are broadcast; else the join splits the rows of a large host.
-    few = lines.count() <= BROADCAST_ROWS
-    joined = measured.join(F.broadcast(frequent) if few else frequent, "host", "left")
-    removed = F.coalesce(let(F.col("frequent"), lambda f: total(F.transform(F.filter(
-        F.col("lines"), lambda x: F.array_contains(f, x["h"])), lambda x: x["n"].cast("long")))),
-        F.lit(0).cast("long"))
+    if max_percent is not None:
+        per_host = (texts.select("host", "t").distinct().groupBy("host")
+                    .agg(F.count("*").alias("n_texts")))
+        counted = (counted.join(per_host, "host")
+                   .where(F.col("n") * 100 > F.col("n_texts") * max_percent))
+    frequent = small(saved(counted.select("host", "h"), "frequent"))
+    hits = saved(
+        measured.select("row", "host", F.explode("lines").alias("line"))
+        .select("row", "host", F.col("line.h").alias("h"), F.col("line.n").cast("long").alias("n"))
+        .join(frequent, ["host", "h"]).groupBy("row")
+        .agg(F.sum("n").alias("n_removed_words"),
+             *([F.collect_set("h").alias("frequent")] if carry else [])), "hits")
+    # With the hashes of a row's lines, a row of it is too wide to be broadcast by its count.
+    joined = measured.join(hits if carry else small(hits), "row", "left")
+    removed = F.coalesce(F.col("n_removed_words"), F.lit(0).cast("long"))
     failed = ((F.col("n_words") < min_words)
               | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent))
     left = F.col("n_words") - F.col("n_removed_words")

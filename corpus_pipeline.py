@@ -29,8 +29,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents by the base rules and depleted ones; the others lose their boilerplate
-    lines."""
-    judged = quality.quality(docs, carry=("lang", "source")).where("kept")
+    lines: those of more than 20 different texts, however many texts the source has."""
+    judged = quality.quality(docs, max_percent=None, carry=("lang", "source")).where("kept")
     return judged.select("doc_id", F.col("clean_text").alias("text"), "carried.*",
                          F.length("clean_text").cast("long").alias("n_chars"))
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from boxstats.llm import quality, queries, url_filter
@@ -132,6 +133,28 @@ def test_lines_of_many_documents_go(spark):
     assert few.where("n_removed_words > 0").isEmpty()                    # too few documents
 
 
+def test_limit_of_lines_does_not_loosen_with_the_source(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(12))             # noqa: E731
+    note = [" ".join(f"licence{k}y{j}" for j in range(7)) for k in range(4)]
+    # 30 of 700 texts have the note, below 5 %; three are made of it.
+    texts = [own(i) + ("\n" + "\n".join(note) if i < 27 else "") for i in range(697)]
+    texts += ["\n".join(note) + f"\nown {i}" for i in range(3)]
+    docs = documents(spark, texts, ["hot"] * 700).select(*corpus_pipeline.COLUMNS)
+    got = {r.doc_id: r.text for r in corpus_pipeline.rules(spark, docs, SF).collect()}
+    assert got == {i: own(i) for i in range(697)}
+
+
+def test_every_frequent_line_of_a_source_goes(spark):
+    # 600 lines are frequent in one source; rows with the same id are judged each.
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(12))             # noqa: E731
+    line = lambda k: f"line number n{k}"                                 # noqa: E731
+    texts = [own(i) + "".join("\n" + line(k) for k in range(i % 20, 600, 20)) for i in range(440)]
+    docs = documents(spark, texts, ["hot"] * 440).withColumn("doc_id", F.col("doc_id") % 7)
+    rows = quality.quality(docs, max_percent=None, carry=("lang",)).collect()
+    assert sorted(r.clean_text for r in rows) == sorted(map(own, range(440)))
+    assert {(r.n_removed_words, r.kept) for r in rows} == {(90, False)}
+
+
 def test_pipeline_stages(spark):
     docs = table(spark, SF, "documents")
     columns = [c for c in docs.columns]
