@@ -95,15 +95,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", sample_rows: int = 20_000, most_terms: int = 5_000,
+        label_col: str = "toxic", sample_rows: int = 20_000, least_rows: int = 3,
         least_odds: float = 20.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> dict:
     """Lexicon and logistic weights from at most about ``sample_rows`` labelled rows.
 
-    Terms are words and word beginnings; of those in enough toxic texts, the ``most_terms`` most
-    frequent are counted in the others too, and a term stays if it is at least ``least_odds`` times
-    as frequent in toxic texts and none of its own beginnings stays (a beginning with a single
-    continuation becomes that longer term). Its weight is the logarithm of
-    that ratio. Without toxic or without clean rows the model scores every text 0.
+    Terms are words and word beginnings, all counted in toxic and clean texts. A term in at least
+    ``least_rows`` toxic texts stays if it is at least ``least_odds`` times as frequent in toxic
+    texts and none of its own beginnings stays (a beginning with a single continuation becomes that
+    longer term). Its weight is the logarithm of that ratio. Only terms near those odds reach the
+    driver. Without toxic or without clean rows the model scores every text 0.
     """
     sample = labelled_sample(docs, labels, id_col, text_col, label_col, sample_rows)
     sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -111,29 +111,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not toxic or not clean:
         return {"lexicon": {}, "exceptions": exceptions, "weights": None}
 
-    def terms_of(wanted):
-        def run(batches):
-            seen: Counter = Counter()
-            for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    found = {t for w in set(folded(text)) for t in stems(w)}
-                    seen.update(found if wanted is None else found & wanted)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
-                names=["term", "n"])
-        return run
-
-    def document_counts(label: int, wanted=None) -> DataFrame:
-        return (sample.where(F.col("label") == label).select("text")
-                .mapInArrow(terms_of(wanted), "term string, n long")
-                .groupBy("term").agg(F.sum("n").alias("n")))
-
-    least = max(3, toxic // 50)
-    common = {r.term: r.n for r in document_counts(1).where(F.col("n") >= least)
-              .orderBy(F.desc("n"), "term").limit(most_terms).collect()}
-    other = {r.term: r.n for r in document_counts(0, set(common)).collect()}
-    odds = {t: (n + 0.5) / (toxic + 1) * (clean + 1) / (other.get(t, 0) + 0.5)
-            for t, n in common.items()}
+    def terms_of(batches):
+        seen: tuple[Counter, Counter] = (Counter(), Counter())
+        for batch in batches:
+            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if label in (0.0, 1.0):
+                    seen[int(label)].update({t for w in set(folded(text)) for t in stems(w)})
+        terms = list(seen[0] | seen[1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(terms, pa.string())]
+            + [pa.array([n[t] for t in terms], pa.int64()) for n in reversed(seen)],
+            names=["term", "n", "other"])
+
+    ratio = (F.col("n") + 0.5) / (toxic + 1) * (clean + 1) / (F.col("other") + 0.5)
+    # A longer term that replaces its beginning has at least 0.9 times its odds.
+    found = (sample.select("text", "label").mapInArrow(terms_of, "term string, n long, other long")
+             .groupBy("term").agg(F.sum("n").alias("n"), F.sum("other").alias("other"))
+             .where((F.col("n") >= least_rows) & (ratio >= 0.89 * least_odds)).collect())
+    common = {r.term: r.n for r in found}
+    odds = {r.term: (r.n + 0.5) / (toxic + 1) * (clean + 1) / (r.other + 0.5) for r in found}
     # A beginning that (nearly) always goes on in one way is replaced by the longer term.
     longer: dict[str, str] = {}
     for term in sorted(common, key=lambda t: (-len(t), t)):

@@ -120,6 +120,19 @@ def test_toxicity_learns_a_lexicon(spark):
     assert min(scores) >= 0.3
 
 
+def test_toxicity_learns_rare_words(spark):
+    # 100 words, each in 1 % of the toxic rows.
+    rng = random.Random(5)
+    neutral = [f"{a}o{b}u" for a in "bcdfglmnpr" for b in "bcdfglmnpr"]
+    rare = [f"{a}{b}zzik" for a in "bcdfghklmn" for b in "aeiouprstv"]
+    texts = [" ".join([*rng.choices(neutral, k=30), rare[i % 100]][:31 if i < 300 else 30])
+             for i in range(1200)]
+    labels = spark.createDataFrame([(i, int(i < 300)) for i in range(1200)],
+                                   "doc_id long, toxic int")
+    model = toxicity.fit(documents(spark, texts), labels)
+    assert {t.strip()[:4] for t in model["lexicon"]} == {w[:4] for w in rare}
+
+
 def test_toxicity_of_hard_cases(spark):
     docs, labels, _ = toxic_corpus(spark, 100)
     model = toxicity.fit(docs, labels)
