@@ -414,8 +414,7 @@ def score_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 + M2 + M3 + C7 + P11: train on all labelled events, score the upcoming player-games,
     the seven output columns. A boosted tree's value has no SQL, so the last column says whether
     the prediction is a finite number."""
-    model = M.train_points(_b1_training(spark, sf_dir), B1_FEATURES, label="value", max_iter=5,
-                           max_depth=3)
+    model = M.train_points(_b1_training(spark, sf_dir), B1_FEATURES, label="value")
     scored = M.score(_b1_inputs(spark, sf_dir), model, B1_FEATURES)
     mapping = dict(PR.PREDICTION_COLUMNS, gameId="game_id", gameDate="game_date")
     out = PR.prediction_rows(scored, mapping).withColumn("gameDate", F.to_date("gameDate"))
