@@ -75,4 +75,69 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM j
 """
 
-ORACLE = {"op9_url_filter": URL_FILTER, "op10_quality": QUALITY}
+MANIFEST = r"""
+WITH RECURSIVE fields AS (
+    SELECT doc_id, lang, n_chars, text,
+           coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+           || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+           coalesce(strlen(text) || ':' || text, '-') AS tail
+    FROM documents),
+crc AS (
+    SELECT DISTINCT doc_id, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''),
+                     lambda c: ascii(c)::BIGINT)),
+        lambda a, b: list_reduce(
+            list_prepend(xor(a, b), range(8)),
+            lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))),
+        4294967295) AS crc
+    FROM documents),
+leaves AS (
+    SELECT f.doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')
+                                  || tail) AS leaf,
+           sha256(head || coalesce(strlen((n_chars + (crc % 7 = 0)::INT)::VARCHAR) || ':'
+                                   || (n_chars + (crc % 7 = 0)::INT), '-') || tail) AS shown
+    FROM fields f LEFT JOIN crc ON f.doc_id IS NOT DISTINCT FROM crc.doc_id),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+           count(*) OVER (PARTITION BY lang) AS n
+    FROM leaves),
+nodes AS (
+    SELECT lang, 0 AS lvl, idx, n, leaf AS node FROM placed
+    UNION ALL
+    SELECT lang, lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY idx))
+    FROM nodes WHERE n > 1 GROUP BY lang, lvl, idx // 2, n),
+subroots AS (
+    SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx,
+           count(*) OVER () AS n
+    FROM nodes WHERE n = 1),
+tops AS (
+    SELECT 0 AS lvl, idx, n, subroot AS node FROM subroots
+    UNION ALL
+    SELECT lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY idx))
+    FROM tops WHERE n > 1 GROUP BY lvl, idx // 2, n),
+up AS (
+    SELECT doc_id, leaf, shown AS fold, lang, 0 AS lvl, idx, n, '' AS proof FROM placed
+    UNION ALL
+    SELECT u.doc_id, leaf, CASE WHEN u.idx % 2 = 1 THEN sha256(s.node || fold)
+                                ELSE sha256(fold || coalesce(s.node, '')) END,
+           u.lang, u.lvl + 1, u.idx // 2, (u.n + 1) // 2, proof || coalesce(s.node, '')
+    FROM up u LEFT JOIN nodes s ON u.lang IS NOT DISTINCT FROM s.lang AND u.lvl = s.lvl
+         AND s.idx = xor(u.idx, 1)
+    WHERE u.n > 1),
+over AS (
+    SELECT doc_id, leaf, fold, subroot, 0 AS lvl, s.idx, s.n, proof
+    FROM up JOIN subroots s ON up.lang IS NOT DISTINCT FROM s.lang WHERE up.n = 1
+    UNION ALL
+    SELECT o.doc_id, leaf, CASE WHEN o.idx % 2 = 1 THEN sha256(s.node || fold)
+                                ELSE sha256(fold || coalesce(s.node, '')) END,
+           subroot, o.lvl + 1, o.idx // 2, (o.n + 1) // 2, proof || coalesce(s.node, '')
+    FROM over o LEFT JOIN tops s ON o.lvl = s.lvl AND s.idx = xor(o.idx, 1)
+    WHERE o.n > 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, fold AS folded_root,
+       fold = root AS verified
+FROM over, (SELECT node AS root FROM tops WHERE n = 1) WHERE n = 1
+"""
+
+ORACLE = {"op9_url_filter": URL_FILTER, "op10_quality": QUALITY,
+          "op11_merkle_manifest": MANIFEST}

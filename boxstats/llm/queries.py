@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxstats.llm import (ann, bpe, lang_id, near_dup, packing, quality, substring, token_count,
-                           toxicity, url_filter)
+from boxstats.llm import (ann, bpe, lang_id, merkle, near_dup, packing, quality, substring,
+                           token_count, toxicity, url_filter)
 from boxstats.llm.oracle import ORACLE  # noqa: F401
 from boxstats.sources.tables import table
 
@@ -68,5 +68,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_count, op2_near_dup, op3_lang_id, op4_packing, op5_bpe, op6_substring, op7_toxicity, op8_ann, op9_url_filter,
-                                   op10_quality)}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    docs = table(spark, sf_dir, "documents").select(*columns)
+    # The tampered row, where there is one: n_chars plus one (decimal, so it cannot overflow).
+    changed = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    shown = merkle.leaf_of(*[more if c == "n_chars" else F.col(c) for c in columns])
+    found = merkle.manifest(docs.withColumn("shown", F.when(changed, shown)), columns,
+                            carry=("shown",))
+    folded = merkle.fold(F.coalesce("carried.shown", "leaf"), F.col("path"))
+    return (found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+                         F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+                         folded.alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_count, op2_near_dup, op3_lang_id, op4_packing, op5_bpe, op6_substring, op7_toxicity,
+    op8_ann, op9_url_filter, op10_quality, op11_merkle_manifest)}
