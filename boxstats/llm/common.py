@@ -47,6 +47,15 @@ def small(side: DataFrame) -> DataFrame:
     return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
 
 
+def in_order(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` dealt and sorted by ranges of the keys, ties by their place in the scan, so that
+    even equal rows, if very many, are spread over tasks. The keys should be short: ranges are
+    chosen from a sample of them."""
+    keys = [*keys, "scan"]
+    return (rows.withColumn("scan", F.monotonically_increasing_id())
+            .repartitionByRange(*keys).sortWithinPartitions(*keys).drop("scan"))
+
+
 def documents_of(docs: DataFrame, id_col: str, text_col: str,
                  carry: tuple[str, ...] | None = None) -> DataFrame:
     """Only the id (long) and the text, so further columns, whatever their names, cannot clash.

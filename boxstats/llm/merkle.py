@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxstats.llm.common import saved, small
+from boxstats.llm.common import in_order, saved, small
 
 PATH = "array<struct<left:string,right:string>>"
 
@@ -50,11 +50,9 @@ def numbered(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
     A distributed sort: rows are dealt by ranges of (g, order, place in the scan), so neither a hot
     group nor a value that very many rows repeat stays in one task. Only the first position and the
     number of rows of each (partition, group) are looked at together."""
-    keys = ["g", *order, "scan"]
-    ordered = (rows.withColumn("scan", F.monotonically_increasing_id())
-               .repartitionByRange(*keys).sortWithinPartitions(*keys).drop("scan"))
     # Written once, so the places hold for every later read.
-    placed = saved(ordered.withColumn("at", F.monotonically_increasing_id()), "sorted")
+    placed = saved(in_order(rows, "g", *order)
+                   .withColumn("at", F.monotonically_increasing_id()), "sorted")
     part = F.shiftright("at", 33).alias("part")
     runs = (placed.select("g", part, "at").groupBy("g", "part")
             .agg(F.min("at").alias("first"), F.count("*").alias("rows")))

@@ -25,7 +25,7 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got, want = queries.QUERIES[name](spark, SF).toPandas(), con.execute(ORACLE[name]).df()
     assert sorted(got.columns) == sorted(want.columns) and len(got) == len(want)
