@@ -156,5 +156,43 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT row_number() OVER () AS piece, lang, regexp_extract_all(line, '[^\x20\x09]+') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(
+              coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[.,;:!?\x0A-\x0D]')) AS line FROM documents)),
+grams AS (
+    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, w[i : i + k - 1] AS g
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+          FROM pieces, (VALUES (1), (2), (3)) AS sizes(k))),
+f AS MATERIALIZED (SELECT lang, k, phrase, g, count(*) AS f FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+parts AS MATERIALIZED (
+    SELECT lang, phrase, k, a, cut, array_to_string(g[1 : cut], ' ') AS head,
+           array_to_string(g[cut + 1 : k], ' ') AS tail
+    FROM (SELECT lang, phrase, k, g, f AS a, unnest(range(1, k)) AS cut FROM f
+          WHERE k > 1 AND f >= 10)),
+cuts AS (
+    SELECT p.lang, p.phrase, p.k, p.a, cut, l.f AS l, r.f AS r,
+           (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
+    FROM parts p JOIN f l ON l.lang = p.lang AND l.phrase = p.head
+         JOIN f r ON r.lang = p.lang AND r.phrase = p.tail),
+scored AS (SELECT * FROM cuts QUALIFY
+           row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+    SELECT lang, phrase, max(f) AS longer
+    FROM (SELECT lang, f, unnest([array_to_string(g[1 : 2], ' '), array_to_string(g[2 : 3], ' ')])
+              AS phrase
+          FROM f WHERE k = 3 AND f >= 10)
+    GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score::BIGINT AS score
+FROM scored s JOIN sizes USING (lang) LEFT JOIN inside i USING (lang, phrase)
+WHERE k = 3 OR longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
 ORACLE = {"op9_url_filter": URL_FILTER, "op10_quality": QUALITY,
-          "op11_merkle_manifest": MANIFEST, "op12_chat_format": CHAT}
+          "op11_merkle_manifest": MANIFEST, "op12_chat_format": CHAT,
+          "op13_collocations": COLLOCATIONS}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxstats.llm import (ann, bpe, chat, lang_id, merkle, near_dup, packing, quality,
-                           substring, token_count, toxicity, url_filter)
+from boxstats.llm import (ann, bpe, chat, collocations, lang_id, merkle, near_dup, packing,
+                           quality, substring, token_count, toxicity, url_filter)
 from boxstats.llm.oracle import ORACLE  # noqa: F401
 from boxstats.sources.tables import table
 
@@ -92,6 +92,11 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chat(turns.unionByName(probe)))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_count, op2_near_dup, op3_lang_id, op4_packing, op5_bpe, op6_substring, op7_toxicity,
-    op8_ann, op9_url_filter, op10_quality, op11_merkle_manifest, op12_chat_format)}
+    op8_ann, op9_url_filter, op10_quality, op11_merkle_manifest, op12_chat_format,
+    op13_collocations)}
