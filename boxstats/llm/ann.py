@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxstats.llm.common import saved
+from boxstats.llm.common import drawn, saved
 
 SLACK = 2.1           # of the test: wider keeps more candidates; 2.1 loses about one in a thousand
 CANDIDATES = "query_id long, vec_id long, score double"
@@ -115,9 +115,8 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
         return empty
     size, count = common.size, common.n
     rows = rows.where(usable(F.col("vector"), size))
-    share = int(min(1.0, sample_rows / count) * 1_000_000)
-    drawn = rows.where((F.xxhash64("vec_id") % 1_000_000 + 1_000_000) % 1_000_000 < share)
-    sample = [r.vector for r in drawn.select("vector").collect()] or [
+    chosen = rows.where(drawn("vec_id", sample_rows, count))
+    sample = [r.vector for r in chosen.select("vector").collect()] or [
         r.vector for r in rows.select("vector").take(lists)]
     if not sample:
         return empty

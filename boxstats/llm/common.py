@@ -6,9 +6,10 @@ import sys
 import types
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxstats.session import ensure_checkpoint_dir
@@ -32,15 +33,50 @@ def worker_state(key, make: Callable):
     return table[key]
 
 
+# The folders that saved() writes inside recorded(), innermost last.
+RECORDS: list[list[str]] = []
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back: a cut of the
     lineage that survives lost executors and keeps column pruning and statistics."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for record in RECORDS:
+        record.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders of all tables that are saved inside the block."""
+    record: list[str] = []
+    RECORDS.append(record)
+    try:
+        yield record
+    finally:
+        RECORDS.pop()
+
+
+def removed(spark: SparkSession, folders: list[str]) -> None:
+    """Delete saved tables whose readers have written their results."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while folders:
+        path = jvm.org.apache.hadoop.fs.Path(folders.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+def drawn(column: str, rows: int, total: int) -> Column:
+    """True for about ``rows`` of ``total`` rows, by a 63-bit hash of the column, so that the share
+    may be as small as it likes."""
+    if rows >= total:
+        return F.lit(True)
+    limit = (rows << 63) // total
+    return F.xxhash64(column).bitwiseAND(F.lit((1 << 63) - 1)) < F.lit(limit)
+
+
 def small(side: DataFrame) -> DataFrame:
     """``side`` (a saved table of ids or keys), as a broadcast if its counted rows are few enough;
     beyond that the join shuffles."""

@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxstats.llm.common import by_bytes, documents_of, saved
+from boxstats.llm.common import by_bytes, documents_of, drawn, saved
 
 # Letters of other scripts that look like Latin ones, and digits and signs that
 # stand for letters inside words.
@@ -74,11 +74,17 @@ def measure(text: str, matcher) -> tuple[float, float, float, float]:
                     if not any(a <= s < b for a, b in spared)}
     total = sum(best.values())
     return (min(total, 1e6) ** 0.5, 100.0 * total / (len(words) + 20.0),
-            float(min(len(best), 10)), float(len(words) + 1) ** 0.25)
+            float(len(best)), float(len(words) + 1) ** 0.25)
+
+
+def features_of(measures: tuple[float, float, float, float]) -> tuple[float, ...]:
+    """What the logistic model sees: from ten hits on, more hits tell by their weight alone."""
+    weight, density, hits, words = measures
+    return weight, density, min(hits, 10.0), words
 
 
 def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
-    return F.crc32(F.col(id_col).cast("string")) % folds == fold
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == fold, F.lit(False))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
@@ -87,10 +93,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     The drawn labels are the only broadcast side: that number bounds it."""
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"),
                           F.col(label_col).cast("double").alias("label")).dropna()
-    share = min(1.0, sample_rows / max(known.count(), 1))
-    drawn = (F.xxhash64("doc_id") % 1_000_000 + 1_000_000) % 1_000_000 < int(share * 1_000_000)
-    return saved(documents_of(docs, id_col, text_col).dropna().where(drawn)
-                 .join(F.broadcast(known.where(drawn)), "doc_id").select("text", "label"),
+    chosen = drawn("doc_id", sample_rows, known.count())
+    return saved(documents_of(docs, id_col, text_col).dropna().where(chosen)
+                 .join(F.broadcast(known.where(chosen)), "doc_id").select("text", "label"),
                  "labelled")
 
 
@@ -151,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def features(batches):
         matcher = automaton(lexicon, exceptions)
         for batch in batches:
-            rows = [measure(t, matcher) for t in batch.column(0).to_pylist()]
+            rows = [features_of(measure(t, matcher)) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], pa.float64()) for i in range(len(FEATURES))]
                 + [batch.column(1)], names=[*FEATURES, "label"])
@@ -184,7 +189,7 @@ def score_toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id",
                     if weights is None:
                         scores.append(0.0)
                         continue
-                    z = weights[0] + sum(w * v for w, v in zip(weights[1:], values))
+                    z = weights[0] + sum(w * v for w, v in zip(weights[1:], features_of(values)))
                     scores.append(1 / (1 + math.exp(-max(-700.0, min(700.0, z)))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64()), pa.array(hits, pa.int64())],
