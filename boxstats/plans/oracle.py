@@ -515,6 +515,59 @@ SELECT k, n, 0, 0, 0, DATE '1900-01-01', 0, 0, '', '' FROM c
 """
 
 
+_BOTH_BOXES = """
+WITH o AS (
+  SELECT o_orderkey, '0024' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS gid,
+         CAST(o_orderdate AS DATE) AS day, o_custkey // 15 AS home, o_orderkey % 10 AS ending,
+         o_orderstatus = 'F' AS final, o_orderdate < TIMESTAMP '1997-01-01' AS early,
+         o_orderkey IN (SELECT l_orderkey FROM lineitem) AS landed
+  FROM orders
+),
+whole AS (SELECT * FROM o WHERE final AND landed AND ending NOT IN (3, 7)),
+r AS (
+  SELECT kind, gid AS "gameId", CAST(l_suppkey AS BIGINT) AS "teamId",
+         CAST(l_partkey AS BIGINT) AS "personId",
+         CASE WHEN kind = 'basic' THEN CAST(floor(l_quantity) AS DOUBLE) END AS points,
+         CASE WHEN kind = 'basic' THEN CAST(l_linenumber AS DOUBLE) END AS assists,
+         CASE WHEN kind = 'advanced' THEN CAST(l_quantity * 2 AS DOUBLE) END AS possessions,
+         day AS game_date, home AS home_team_id, '2024-01-01 12:00:00' AS loaded, early
+  FROM lineitem JOIN whole ON l_orderkey = o_orderkey,
+       (VALUES ('basic'), ('advanced')) AS kinds(kind)
+),
+"""
+_WITH_COUNTS = """
+SELECT * EXCLUDE (early) FROM r
+UNION ALL
+SELECT k, NULL, n, 0, NULL, NULL, NULL, NULL, 0, NULL FROM c
+"""
+
+INGEST_BOX_SCORES = _BOTH_BOXES + """
+fresh AS (SELECT * FROM o WHERE final AND NOT (early AND landed AND ending NOT IN (3, 7))),
+c AS (
+  SELECT 'finals' AS k, count(*) AS n FROM o WHERE final
+  UNION ALL SELECT 'new', count(*) FROM fresh
+  UNION ALL SELECT 'stored', count(*) FROM whole WHERE NOT early
+  UNION ALL SELECT kind || '_saved', n FROM (VALUES ('basic'), ('advanced')) AS kinds(kind),
+    (SELECT count(*) // 2 AS n FROM r WHERE NOT early)
+  UNION ALL SELECT kind || '_deleted', 0 FROM (VALUES ('basic'), ('advanced')) AS kinds(kind)
+  UNION ALL SELECT 'quarantined', count(*) FROM o WHERE landed AND ending = 7
+    AND date_trunc('month', day) IN (SELECT date_trunc('month', day) FROM fresh)
+)
+""" + _WITH_COUNTS
+
+# A month of orders is landed twice, and so are its broken records; orders that end in 5 are not
+# landed at all.
+STREAM_BOX_SCORES = _BOTH_BOXES.replace("(3, 7)", "(3, 5, 7)") + """
+c AS (
+  SELECT 'half' AS k, count(*) AS n FROM o WHERE landed AND ending IN (3, 7)
+  UNION ALL SELECT 'not finished', count(*) FROM o
+    WHERE landed AND ending NOT IN (3, 5, 7) AND NOT final
+  UNION ALL SELECT 'unusable', count(*) + count(*) FILTER (
+      day >= DATE '1995-05-01' AND day < DATE '1995-06-01') FROM o WHERE landed AND ending = 7
+)
+""" + _WITH_COUNTS
+
+
 def _day(shift: int) -> str:
     return f"""CASE WHEN (o_orderkey + {shift}) % 5 = 0 THEN NULL
     WHEN o_orderpriority = '1-URGENT'
@@ -697,6 +750,8 @@ ORACLE = {
     "stream_ingest": STREAM_INGEST,
     "audit_and_write": AUDIT_AND_WRITE,
     "incremental_ingest": INCREMENTAL_INGEST,
+    "ingest_box_scores": INGEST_BOX_SCORES,
+    "stream_box_scores": STREAM_BOX_SCORES,
     "commit_replace": COMMIT_REPLACE,
     "read_dimensions": READ_DIMENSIONS,
     "historical_stats": HISTORICAL_STATS,

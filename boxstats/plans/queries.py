@@ -19,6 +19,7 @@ from boxstats.functions import scalars as X
 from boxstats.operators import encode as ENC
 from boxstats.operators import projections as PR
 from boxstats.operators import quality as Q
+from boxstats.sources import landing as LD
 from boxstats.sources import readers as RD
 from boxstats.sources import schemas as SC
 from boxstats.operators import features as feat
@@ -27,11 +28,13 @@ from boxstats.operators import history as H
 from boxstats.operators import opponent as OPP
 from boxstats.operators import windows as win
 from boxstats.plans import bindings as B
+from boxstats.plans import ingest as IN
 from boxstats.plans import pipeline as PL
 from boxstats.model import points as M
 from boxstats.operators import inputs as INP
 from boxstats.session import scratch_dir
 from boxstats.sinks import writers as K
+from boxstats.streaming import pairs as ST
 from boxstats.streaming.ingest import stream_ingest as run_stream_ingest
 from boxstats.sources.tables import table
 
@@ -518,6 +521,106 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         | {"game_date": F.lit("1900-01-01").cast("date")}))
 
 
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as landed records of both contracts (month, day, ending, value): each order is
+    a game whose lines are players. The basic record of the order keys that end in 7 is broken,
+    those that end in 3 have no advanced one, those in 5 an older basic one without points."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("day"))
+    who = [F.col("l_partkey").cast("long").alias("personId"),
+           F.col("l_suppkey").cast("long").alias("teamId"), F.lit("12:30").alias("minutes")]
+    assists = F.col("l_linenumber").cast("int").alias("assists")
+    lines = li.groupBy("l_orderkey").agg(
+        F.collect_list(F.struct(*who, F.col("l_quantity").cast("int").alias("points"), assists))
+        .alias("basic"),
+        F.collect_list(F.struct(*who, F.lit(0).alias("points"), assists)).alias("older"),
+        F.collect_list(F.struct(*who, (F.col("l_quantity") * 2).cast("double")
+                                .alias("possessions"))).alias("advanced"))
+    gid = F.concat(F.lit("0024"), F.lpad(F.col("l_orderkey").cast("string"), 12, "0"))
+    noon = F.col("day").cast("timestamp") + F.expr("INTERVAL 12 HOURS")
+
+    def record(kind: str, players: str, hours: int):
+        return F.to_json(F.struct(F.lit(kind).alias("kind"), gid.alias("gameId"), F.date_format(
+            noon + F.expr(f"INTERVAL {hours} HOURS"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("sent"),
+            F.col(players).alias("players")))
+
+    ending = F.col("l_orderkey") % 10
+    values = F.array(
+        F.when(ending == 7, '{"kind": "basic", "gameId": "00').otherwise(
+            record("basic", "basic", 3)),
+        F.when(ending != 3, record("advanced", "advanced", 5)),
+        F.when(ending == 5, record("basic", "older", 2)))
+    return lines.join(o, "l_orderkey").select(
+        LD.month_of("day").alias(LD.MONTH), "day", ending.alias("ending"),
+        F.explode(F.array_compact(values)).alias("value"))
+
+
+def _land(records: DataFrame, path: str) -> None:
+    """Few files a month, each in the order of its games' days."""
+    (records.repartitionByRange("month", "day").select("month", "value")
+     .write.mode("append").partitionBy("month").text(path))
+
+
+def _both_boxes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """The rows of both stored tables with the columns that the binding fills."""
+    def rows(kind: str, *stats: str) -> DataFrame:
+        box = K.read_stored(spark, paths[kind], SC.BOX_BASIC)
+        value = [F.col(c) if c in stats else F.lit(None).alias(c)
+                 for c in ("points", "assists", "possessions")]
+        return box.select(
+            F.lit(kind).alias("kind"), "gameId", "teamId", "personId", *[
+                v.cast("double").alias(c) for v, c in zip(value, ("points", "assists",
+                                                                  "possessions"))],
+            "game_date", "home_team_id",
+            F.date_format(SC.AUDIT_COLUMN, "yyyy-MM-dd HH:mm:ss").alias("loaded"))
+    return rows("basic", "points", "assists").unionByName(rows("advanced", "possessions"))
+
+
+def _with_counts(spark: SparkSession, rows: DataFrame, counts: dict[str, int]) -> DataFrame:
+    """``rows`` and, with the name of a count as kind, its value as ``teamId``."""
+    extra = spark.createDataFrame(list(counts.items()), "kind string, teamId long")
+    zero = F.lit(0).cast("long")
+    return rows.unionByName(extra.withColumns({"personId": zero, "home_team_id": zero}),
+                            allowMissingColumns=True)
+
+
+def ingest_box_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C9 with S5 + S6 + D2 + U2 + J1 + K3 + K6: records of both contracts in one landing, ingested
+    first for the games before 1997, then for the whole schedule. A game is stored in both tables
+    once both its records are there. Returns their rows and the counts of the second run."""
+    base = scratch_dir(spark, "box-scores")
+    _land(_records(spark, sf_dir), f"{base}/landed")
+    season = _line_schedule(spark, sf_dir)
+    paths = {kind: f"{base}/{kind}" for kind in LD.PAYLOADS}
+    for part in (season.filter(F.col("game_date") < "1997-01-01"), season):
+        counts, quarantine = IN.ingest_box_scores(spark, part, f"{base}/landed", paths,
+                                                  ts=AUDIT_TIME)
+    counts["quarantined"] = quarantine.count()
+    return _with_counts(spark, _both_boxes(spark, paths), counts)
+
+
+def stream_box_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 with S5 + S6 + C9: the same records as streams, in two parts by date, the second with a
+    replay of days of the first; two closing records far later end the wait for partners. The
+    stored tables hold the complete finished games once; the counts tell what was put aside."""
+    base = scratch_dir(spark, "box-stream")
+    records, season = _records(spark, sf_dir), _line_schedule(spark, sf_dir)
+    paths = {kind: f"{base}/{kind}" for kind in LD.PAYLOADS}
+    early = records.filter("ending <> 5 AND day < '1995-06-01'")
+    late = records.filter("ending <> 5 AND day >= '1995-05-01'")
+    closing = spark.createDataFrame(
+        [(f'{{"kind": "{kind}", "gameId": "closing", "sent": "2001-01-01T00:00:00Z"}}',)
+         for kind in LD.PAYLOADS], "value string").withColumns(
+        {"month": F.lit("2001-01-01").cast("date"), "day": F.lit("2001-01-01").cast("date")})
+    for part in (early, late, closing):
+        _land(part, f"{base}/landed")
+        ST.stream_box_scores(spark, season, f"{base}/landed", base, paths, ts=AUDIT_TIME)
+    held = ST.quarantined(spark, base).filter("gameId IS NULL OR gameId <> 'closing'")
+    counts = {r.reason: r.n for r in held.groupBy("reason").agg(F.count("*").alias("n")).collect()}
+    return _with_counts(spark, _both_boxes(spark, paths), counts)
+
+
 def commit_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3 + J8 + U3 + K5 on a stored table: all orders with a text day as partition value (NULL
     for ``5-LOW``, with a colon for ``1-URGENT``, else with a leading zero); then open orders
@@ -719,6 +822,8 @@ QUERIES = {
     "stream_ingest": stream_ingest,
     "audit_and_write": audit_and_write,
     "incremental_ingest": incremental_ingest,
+    "ingest_box_scores": ingest_box_scores,
+    "stream_box_scores": stream_box_scores,
     "commit_replace": commit_replace,
     "read_dimensions": read_dimensions,
     "historical_stats": historical_stats,

@@ -68,6 +68,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared checkpoint folder and read back: like a
+    checkpoint, but later reads keep column pruning, pushed filters and file statistics."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
