@@ -143,6 +143,28 @@ SELECT position_group, opponent,
 FROM a
 """
 
+# The events with the corrections of the last batch.
+_CORRECTED = """
+corrected AS (
+  SELECT * REPLACE (
+    CASE WHEN event_type = 'purchase' THEN user_id + 1 ELSE user_id END AS user_id,
+    CASE WHEN event_type = 'purchase' THEN ts - INTERVAL 10 DAY ELSE ts END AS ts,
+    CASE WHEN event_type = 'purchase' THEN value * 2 ELSE value END AS value)
+  FROM events
+),"""
+_CORRECTED_B1 = _CORRECTED + _B1.replace("FROM events", "FROM corrected")
+INCREMENTAL_FEATURES = LATEST_FEATURES_PER_PLAYER.replace(_B1, _CORRECTED_B1)
+MAINTAINED_AVERAGES = f"""
+WITH {_CORRECTED_B1},
+h AS (SELECT position AS position_group, opponent, CAST(ts AS DATE) AS game_date, value FROM b1),
+{_avg_of_daily("h", "value")}
+SELECT position_group, opponent,
+  round(avg_pts_opp_position_last_10, {R}) AS avg_pts_opp_position_last_10,
+  round(avg_pts_opp_position_last_20, {R}) AS avg_pts_opp_position_last_20,
+  round(avg_pts_opp_position_all, {R}) AS avg_pts_opp_position_all
+FROM a
+"""
+
 WITH_OPPONENT_AVERAGES = f"""
 WITH {_B1},
 h AS (
@@ -750,6 +772,8 @@ ORACLE = {
     "stream_ingest": STREAM_INGEST,
     "audit_and_write": AUDIT_AND_WRITE,
     "incremental_ingest": INCREMENTAL_INGEST,
+    "incremental_features": INCREMENTAL_FEATURES,
+    "maintained_averages": MAINTAINED_AVERAGES,
     "ingest_box_scores": INGEST_BOX_SCORES,
     "stream_box_scores": STREAM_BOX_SCORES,
     "commit_replace": COMMIT_REPLACE,

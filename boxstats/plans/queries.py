@@ -30,6 +30,7 @@ from boxstats.operators import windows as win
 from boxstats.plans import bindings as B
 from boxstats.plans import ingest as IN
 from boxstats.plans import pipeline as PL
+from boxstats.plans import state as SA
 from boxstats.model import points as M
 from boxstats.operators import inputs as INP
 from boxstats.session import scratch_dir
@@ -103,6 +104,51 @@ def rolling_lagged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "event_id", "ts", *cols)
 
 
+# Where the event batches end, and the events that come again corrected: their points doubled, ten
+# days earlier, and counted for the next player.
+BATCH_ENDS = ("2024-01-12", "2024-01-22")
+CORRECTED = "purchase"
+
+
+def _event_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """B1 as it comes in: three batches by date, then all corrections."""
+    box = _b1_rates(spark, sf_dir).withColumn("opponent", F.col("opponent").cast("long"))
+    first, second = (F.lit(d).cast(box.schema["ts"].dataType) for d in BATCH_ENDS)
+    back = B.events_box(spark, sf_dir).filter(F.col("position") == CORRECTED).withColumns({
+        "value": F.col("value") * 2, "user_id": F.col("user_id") + 1,
+        "ts": F.col("ts") - F.expr("INTERVAL 10 DAYS"), "opponent": F.col("opponent").cast("long")})
+    return [box.filter(F.col("ts") < first),
+            box.filter((F.col("ts") >= first) & (F.col("ts") < second)),
+            box.filter((F.col("ts") >= second) | F.col("ts").isNull()),
+            feat.with_rates(back, B1_STATS).select(*box.columns)]
+
+
+def incremental_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + W2 from the maintained last rows of each player, after three daily batches and one
+    that replaces games: what ``latest_features_per_player`` finds in the whole corrected
+    history."""
+    base = scratch_dir(spark, "recent")
+    for batch in _event_batches(spark, sf_dir):
+        history = K.read_stored(spark, f"{base}/box", batch.schema)
+        SA.update_recent(spark, f"{base}/recent", batch, history, "user_id", "event_id", B1_ORDER,
+                         max(win.DEFAULT_WINDOWS))
+        K.commit_replace(spark, batch, f"{base}/box", ["event_id"], "ts", audit=False)
+    out = win.rolling_over_recent(SA.read_recent(spark, f"{base}/recent"),
+                                  feat.rate_columns(B1_STATS), "user_id", name_fmt=feat.ROLLING)
+    return out.select("user_id", "event_id", "ts", *_b1_feature_cols())
+
+
+def maintained_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 - A3 from maintained partial sums after the same batches; replaced games retract
+    theirs."""
+    base, keys = scratch_dir(spark, "daily"), ["position_group", "opponent"]
+    for batch in _event_batches(spark, sf_dir):
+        rows = batch.withColumns({"position_group": F.col("position"),
+                                  "game_date": F.to_date("ts")})
+        SA.update_daily(spark, base, rows, "event_id", keys, "game_date", "value")
+    return rounded(SA.maintained_averages(spark, base, keys, "game_date"))
+
+
 # Fixed parameters of the registered queries (dates inside the driver's order dates).
 UPCOMING_DATE = "1996-03-01"
 UPCOMING_DAYS = 7
@@ -792,6 +838,8 @@ QUERIES = {
     "rolling_rate_features": rolling_rate_features,
     "latest_features_per_player": latest_features_per_player,
     "rolling_lagged_features": rolling_lagged_features,
+    "incremental_features": incremental_features,
+    "maintained_averages": maintained_averages,
     "rolling_rate_features_skewed": rolling_rate_features_skewed,
     "daily_mean_by_group": daily_mean_by_group,
     "opponent_position_averages": opponent_position_averages,
