@@ -15,6 +15,7 @@ of the sets (the whole sets of short texts) are similar too.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -68,26 +69,27 @@ def bit_planes(signature: np.ndarray) -> np.ndarray:
         np.int64).ravel()
 
 
+def set_hashes(found: list[np.ndarray]) -> tuple[list, list]:
+    """Two 64-bit hashes of each whole set."""
+    import xxhash
+    data = [f.tobytes() for f in found]
+    return tuple([np.uint64(xxhash.xxh3_64_intdigest(d, seed)).astype(np.int64) for d in data]
+                 for seed in (0, 1))
+
+
 def signatures(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
     """doc_id, n_shingles, two hashes of the whole set, and the signature (null without words)."""
     multiply, plus = multipliers(coordinates)
 
     def run(batches):
-        import xxhash
         for batch in batches:
-            sizes, first, second, keys, planes = [], [], [], [], []
-            for text in batch.column(1).to_pylist():
-                found = shingles(text, width)
-                sizes.append(len(found))
-                data = found.tobytes()
-                first.append(np.uint64(xxhash.xxh3_64_intdigest(data)).astype(np.int64))
-                second.append(np.uint64(xxhash.xxh3_64_intdigest(data, 1)).astype(np.int64))
-                keys.append(signature(found, multiply, plus) if len(found) else None)
-                planes.append(bit_planes(keys[-1]) if len(found) else None)
+            found = [shingles(t, width) for t in batch.column(1).to_pylist()]
+            keys = [signature(f, multiply, plus) if len(f) else None for f in found]
+            planes = [None if k is None else bit_planes(k) for k in keys]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
-                 pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int32())),
-                 pa.array(planes, pa.list_(pa.int64()))],
+                [batch.column(0), pa.array([len(f) for f in found], pa.int64()),
+                 *[pa.array(h, pa.int64()) for h in set_hashes(found)],
+                 pa.array(keys, pa.list_(pa.int32())), pa.array(planes, pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "h1", "h2", "keys", "planes"])
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, "
@@ -116,17 +118,27 @@ def first_common(in_long: bool) -> Column:
     return F.bitwise_not(unequal()).bitwiseAND(kind).bitwiseAND(earlier) == 0
 
 
-def sketches(docs: DataFrame, ids: DataFrame, width: int, size: int) -> DataFrame:
-    """id, sketch: the ``size`` smallest shingle hashes, which is the whole set of a short text."""
+def per_class(docs: DataFrame, wanted: DataFrame, width: int, name: str, kind: str,
+              of: Callable[[np.ndarray], object]) -> DataFrame:
+    """(id, ``name``): ``of`` the shingles of the classes ``wanted`` (doc, rep, h1, h2). A class is
+    read from the rows of its smallest id; of different texts that share the id, the hashes of the
+    whole set tell the right one."""
     def run(batches):
         for batch in batches:
-            found = [(shingles(t, width) >> np.uint64(16)).astype(np.int64)[:size]
-                     for t in batch.column(1).to_pylist()]
+            found = [shingles(t, width) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "sketch"])
+                [batch.column(0), *[pa.array(h, pa.int64()) for h in set_hashes(found)],
+                 pa.array([of(f) for f in found], value)], names=["rep", "h1", "h2", name])
 
-    return (docs.join(small(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-            .mapInArrow(run, "id long, sketch array<long>"))
+    value = {"binary": pa.binary(), "array<long>": pa.list_(pa.int64())}[kind]
+    texts = docs.join(small(wanted.select(F.col("rep").alias("doc_id")).distinct()), "doc_id",
+                      "left_semi")
+    found = saved(texts.mapInArrow(run, f"rep long, h1 long, h2 long, {name} {kind}")
+                  .join(small(wanted), ["rep", "h1", "h2"])
+                  .select(F.col("doc").alias("id"), name), name)
+    # More rows than classes: some row was repeated, id and text.
+    return found if found.count() == wanted.count() else saved(
+        found.dropDuplicates(["id"]), name)
 
 
 def sketch_similar(percent: int, size: int) -> Column:
@@ -146,19 +158,13 @@ def like_sizes(a: str, b: str, percent: int) -> Column:
     return ((F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
+              percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
-    ids = saved(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-
-    def sets(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([shingles(t, width).tobytes()
-                                            for t in batch.column(1).to_pylist()], pa.binary())],
-                names=["id", "shingles"])
-
-    full = saved(docs.join(small(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-                 .mapInArrow(sets, "id long, shingles binary"), "sets")
+    ids = saved(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "ids")
+    wanted = saved(classes.select("doc", "rep", "h1", "h2").join(small(ids), "doc", "left_semi"),
+                   "wanted")
+    full = per_class(docs, wanted, width, "shingles", "binary", np.ndarray.tobytes)
 
     def check(batches):
         for batch in batches:
@@ -178,6 +184,18 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
             .mapInArrow(check, "a long, b long"))
 
 
+def shared_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): links between the classes of an id that has several, as stars."""
+    kind = ["n_shingles", "h1", "h2"]
+    whole = F.struct(*kind)
+    several = saved(rows.groupBy("doc_id").agg(F.min(whole).alias("low"), F.max(whole).alias("high"))
+                    .where("low <> high").select("doc_id"), "several")
+    of = (rows.select("doc_id", *kind).join(small(several), "doc_id", "left_semi")
+          .join(classes.select("doc", *kind), kind).select("doc_id", "doc").distinct())
+    first = of.groupBy("doc_id").agg(F.min("doc").alias("a"))
+    return of.join(first, "doc_id").where("a <> doc").select("a", F.col("doc").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = 5, percent: int = 75, coordinates: int = 64,
                     matches: int = 36, long_list: int = 32, sketch: int = 256) -> DataFrame:
@@ -187,20 +205,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     word shingles. A pair at exactly 75 % has fewer than 36 of 64 equal coordinates with
     probability 0.0005, at 80 % below 1e-5. Null, empty and blank texts have no shingles and stay
     alone; a null id is its own component (null) and kept; rows that share an id count as one
-    document, linked through it. Copies (equal sets) are collapsed by two grouped minima first, so
-    a group of copies costs one posting per coordinate.
+    document, linked through it: each of their texts finds its own near copies. Copies (equal sets)
+    are collapsed to one class first, so a group of copies costs one posting per coordinate.
     """
     source = documents_of(docs, id_col, text_col)
     meta = saved(signatures(source, width, coordinates), "signatures")
-    classes = saved(meta.where("n_shingles > 0 AND doc_id IS NOT NULL")
-                    .groupBy("n_shingles", "h1", "h2")
+    worded = meta.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    # A class of equal sets gets a number, fixed by the writing: ids may repeat.
+    classes = saved(worded.groupBy("n_shingles", "h1", "h2")
                     .agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"),
-                         F.first("planes").alias("planes")), "classes")
-    ids = classes.select("n_shingles", "h1", "h2", "rep")
-    one = classes.groupBy("rep").agg(F.max(F.struct("n_shingles", "keys", "planes")).alias("s"))
-    one = saved(one.select(F.col("rep").alias("doc"), F.col("s.n_shingles").alias("n"),
-                           "s.keys", *[F.get("s.planes", F.lit(k)).alias(f"p{k}")
-                                       for k in range(PLANES)]), "reps")
+                         F.first("planes").alias("planes"))
+                    .withColumn("doc", F.monotonically_increasing_id()), "classes")
+    one = classes.select("doc", F.col("n_shingles").alias("n"), "keys",
+                         *[F.get("planes", F.lit(k)).alias(f"p{k}") for k in range(PLANES)])
+    same_id = saved(shared_ids(worded, classes), "same-id")
     if coordinates > 64:
         raise ValueError("at most 64 coordinates")
 
@@ -215,7 +233,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     last = F.coalesce(F.col("long_keys"), F.array().cast("array<long>"))
     bits = F.aggregate(last, F.lit(0).cast("long"), lambda m, k: m.bitwiseOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(255)).cast("int"))))
-    signed = saved(one.join(in_long, "doc", "left").select("doc", "n", "keys", *SIGNATURE[1:], bits.alias("long")), "signed")
+    signed = saved(one.join(in_long, "doc", "left")
+                   .select("doc", "n", "keys", *SIGNATURE[1:], bits.alias("long")), "signed")
     pieces = F.transform(coded, lambda k, i: F.struct(
         k.alias("key"), (F.call_function("shiftright", F.col("long"), i).bitwiseAND(F.lit(1)) == 1)
         .alias("in_long")))
@@ -238,9 +257,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   .where("n > 1").select("key", "head"), "heads")
     stars = (postings.join(heads, "key").where("doc <> head")
              .select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct())
-    links = saved(confirmed(saved(matching(stars), "star-pairs"), source, width, percent),
+    links = saved(confirmed(saved(matching(stars), "star-pairs"), source, classes, width, percent),
                   "links")
-    label = saved(connected_components(links, "a", "b"), "labels")
+    label = saved(connected_components(links.unionByName(same_id), "a", "b"), "labels")
 
     # What the stars left open: lists whose members are still in different components.
     labelled = (postings.join(heads.select("key"), "key", "left_semi")
@@ -278,22 +297,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     short = crossing(rest.where("NOT in_long").join(signed, "doc"), False)
     crowd = rest.where("in_long")
-    ids_in_crowd = saved(crowd.select(F.col("doc").alias("doc_id")).distinct(), "ids")
-    drawn = saved(sketches(source, ids_in_crowd, width, sketch), "sketches")
+    in_crowd = saved(classes.select("doc", "rep", "h1", "h2").join(
+        small(saved(crowd.select("doc").distinct(), "ids")), "doc", "left_semi"), "wanted")
+    drawn = per_class(source, in_crowd, width, "sketch", "array<long>",
+                      lambda found: (found >> np.uint64(16)).astype(np.int64)[:sketch])
     crowded = crossing(crowd.join(signed, "doc").join(drawn, F.col("doc") == F.col("id")), True,
                        "sketch")
     crossing_pairs = saved(short.unionByName(crowded).distinct(), "open-pairs")
     component = label
     if not crossing_pairs.isEmpty():
-        more = saved(confirmed(crossing_pairs, source, width, percent), "links")
+        more = saved(confirmed(crossing_pairs, source, classes, width, percent), "links")
         if not more.isEmpty():
             stars = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
             component = saved(connected_components(stars.union(more), "a", "b"), "labels")
 
+    # A component is named by the smallest id of its classes.
+    member = (classes.select("n_shingles", "h1", "h2", "doc", "rep")
+              .join(component, F.col("doc") == F.col("node"), "left")
+              .withColumn("member", F.coalesce("component", "doc")))
+    named = member.groupBy("member").agg(F.min("rep").alias("name"))
+    ids = member.join(named, "member").select("n_shingles", "h1", "h2", "name")
     found = (meta.select("doc_id", "n_shingles", "h1", "h2")
-             .join(ids, ["n_shingles", "h1", "h2"], "left")
-             .join(component, F.col("rep") == F.col("node"), "left"))
-    group = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+             .join(ids, ["n_shingles", "h1", "h2"], "left"))
+    group = F.when(F.col("doc_id").isNotNull(), F.coalesce("name", "doc_id"))
     return (found.withColumn("component_id", group)
             .select("doc_id", "n_shingles", "component_id",
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))

@@ -80,6 +80,25 @@ def test_near_duplicates_equal_brute_force(spark):
         assert got[i].kept == (groups[i] == i)
 
 
+def test_each_text_of_a_repeated_id_finds_its_copies(spark):
+    """Different texts under one id are one document; the links of every one of them count."""
+    rng = random.Random(6)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    a, b, c = text(60), text(90), text(40)
+    near = lambda words: " ".join([*words[:-1], "other"])
+    rows = [(21, " ".join(a)), (21, " ".join(b)), (21, " ".join(b)), (27, near(a)), (29, near(b)),
+            (9, " ".join(c)), (29, near(c)), (31, " ".join(text(30))), (5, ""), (5, " ".join(c))]
+    sets = [shingle_set(t) for _, t in rows]
+    links = [(rows[i][0], rows[j][0]) for i in range(len(rows)) for j in range(i)
+             if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    want = closure({i for i, _ in rows}, links)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dup.near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.component_id for r in got} == want and want[27] == want[29] == 5
+    assert sorted(r.n_shingles for r in got) == sorted(map(len, sets))
+
+
 def test_near_duplicates_of_hard_cases(spark):
     docs = documents(spark, HARD)
     got = near_dup.near_duplicates(docs.union(docs.limit(5)))
