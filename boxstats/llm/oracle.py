@@ -49,10 +49,7 @@ rep AS (
 freq AS (
     SELECT host, array_to_string(lw, ' ') AS norm, count(DISTINCT text) AS n
     FROM worded GROUP BY ALL),
-hosts AS (SELECT host, count(DISTINCT text) AS n_texts FROM d GROUP BY host),
-bad AS (
-    SELECT host, norm FROM freq JOIN hosts USING (host)
-    WHERE n > 20 AND n * 100 > n_texts * 5),
+bad AS (SELECT host, norm FROM freq WHERE n > 20),
 gone AS (
     SELECT doc_id, sum(len(lw)) AS n_removed
     FROM worded JOIN bad ON worded.host = bad.host AND array_to_string(lw, ' ') = norm

@@ -94,15 +94,15 @@ def line_structs(text: Column) -> Column:
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             host_col: str = "source", min_words: int = 10, max_repeat_percent: int = 20,
-            min_documents: int = 20, max_percent: int | None = 5,
-            min_left_percent: int = 20, carry: tuple[str, ...] = ()) -> DataFrame:
+            min_documents: int = 20, min_left_percent: int = 20,
+            carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the base measures, base_failed, n_removed_words, kept: one row per input row. With
     ``carry``, also clean_text (without the removed lines) and those columns as a struct carried.
 
-    A line is boilerplate if, in its host, more than ``min_documents`` different texts and more
-    than ``max_percent`` % of all different texts have it (copies of a text count once); with
-    ``max_percent`` None the number of texts alone decides, so the limit does not loosen with the
-    host. Its words are removed; a document left with fewer than ``min_words`` words, or with less
+    A line is boilerplate if more than ``min_documents`` documents of its host have it, however
+    large the host is. Documents with the same text count once, else all lines of a text with many
+    copies would be boilerplate, and none of its copies be left for deduplication. Its words are
+    removed; a document left with fewer than ``min_words`` words, or with less
     than ``min_left_percent`` % of them, is depleted and not kept. Null and empty texts have no
     words and fail the base rules; a null host is a host of its own; repeated rows are judged each.
 
@@ -127,11 +127,6 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .select("host", "t", F.col("line.h").alias("h")).distinct()
                .groupBy("host", "h").agg(F.count("*").alias("n"))
                .where(F.col("n") > min_documents))
-    if max_percent is not None:
-        per_host = (texts.select("host", "t").distinct().groupBy("host")
-                    .agg(F.count("*").alias("n_texts")))
-        counted = (counted.join(per_host, "host")
-                   .where(F.col("n") * 100 > F.col("n_texts") * max_percent))
     frequent = small(saved(counted.select("host", "h"), "frequent"))
     hits = saved(
         measured.select("row", "host", F.explode("lines").alias("line"))
@@ -139,8 +134,14 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .join(frequent, ["host", "h"]).groupBy("row")
         .agg(F.sum("n").alias("n_removed_words"),
              *([F.collect_set("h").alias("frequent")] if carry else [])), "hits")
-    # With the hashes of a row's lines, a row of it is too wide to be broadcast by its count.
-    joined = measured.join(hits if carry else small(hits), "row", "left")
+    if carry:
+        # Only texts that lose lines are shuffled, to meet the hashes of these.
+        touched = small(hits.select("row"))
+        nothing = [F.lit(None).cast(hits.schema[c].dataType).alias(c) for c in hits.columns[1:]]
+        joined = (measured.join(touched, "row", "left_anti").select("*", *nothing)
+                  .unionByName(measured.join(touched, "row", "left_semi").join(hits, "row")))
+    else:
+        joined = measured.join(small(hits), "row", "left")
     removed = F.coalesce(F.col("n_removed_words"), F.lit(0).cast("long"))
     failed = ((F.col("n_words") < min_words)
               | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent))

@@ -150,7 +150,7 @@ def test_every_frequent_line_of_a_source_goes(spark):
     line = lambda k: f"line number n{k}"                                 # noqa: E731
     texts = [own(i) + "".join("\n" + line(k) for k in range(i % 20, 600, 20)) for i in range(440)]
     docs = documents(spark, texts, ["hot"] * 440).withColumn("doc_id", F.col("doc_id") % 7)
-    rows = quality.quality(docs, max_percent=None, carry=("lang",)).collect()
+    rows = quality.quality(docs, carry=("lang",)).collect()
     assert sorted(r.clean_text for r in rows) == sorted(map(own, range(440)))
     assert {(r.n_removed_words, r.kept) for r in rows} == {(90, False)}
 
