@@ -329,15 +329,15 @@ def one_hot_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ENC.one_hot(ctx, fitted)
 
 
-# Documents a day's games are spread over, so that a document's size is bounded in the test data
-# by the games of a season and not by all orders.
-GAME_FILES = 16
+# Consecutive order keys of a document: there are more documents where there are more orders, and
+# none grows.
+DOCUMENT_KEYS = 4096
 
 
 def _nested_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as season-schedule documents: one per year and day of the month (a landed file's
-    part of the season), with a month of many games for each calendar month, and one month
-    without ``mscd`` (skipped by the flattening, as a month without games is)."""
+    """Orders as season-schedule documents: one per year and range of order keys (a landed file's
+    part of the season), with the games of each calendar month, and one month without ``mscd``
+    (skipped by the flattening, as a month without games is)."""
     g = B.game_id_texts(spark, sf_dir)
     home = B.team_of("o_custkey")
     away = home + B.B3_AWAY_OFFSET
@@ -352,12 +352,11 @@ def _nested_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(away.alias("tid"), F.concat(F.lit("T"), away.cast("string")).alias("ta"))
         .alias("v"))
     month = F.struct(F.struct(F.collect_list(game).alias("g")).alias("mscd")).alias("month")
-    months = g.groupBy(F.year("o_orderdate").alias("y"), F.dayofmonth("o_orderdate").alias("d"),
-                       F.month("o_orderdate").alias("m"), (F.col("o_orderkey") % GAME_FILES)
-                       .alias("f")).agg(month)
+    months = g.groupBy(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"),
+                       F.expr(f"o_orderkey div {DOCUMENT_KEYS}").alias("f")).agg(month)
     mscd_type = SC.SEASON_SCHEDULE_JSON["lscd"].dataType.elementType["mscd"].dataType
     empty = F.struct(F.lit(None).cast(mscd_type).alias("mscd"))
-    return months.groupBy("y", "d", "f").agg(F.concat(
+    return months.groupBy("y", "f").agg(F.concat(
         F.collect_list("month"), F.array(empty)).alias("lscd")).select("lscd")
 
 
