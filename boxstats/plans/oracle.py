@@ -92,6 +92,27 @@ SELECT user_id, event_id, ts,
 FROM b1r
 """
 
+_BACKTEST_COLS = [f"{c}_rolling_{n}" for c in _RATES for n in _WINDOWS]
+BACKTEST_FEATURES = f"""
+WITH {_B1},
+sk AS (SELECT *, CASE WHEN user_id % 3 = 0 THEN -1 ELSE user_id END AS player FROM b1r),
+f AS (
+  SELECT player, event_id, ts, """ + ", ".join(
+    f"{ordered_mean(c, n - 1, 0, _SKEW_W)} AS {c}_rolling_{n}"
+    for c in _RATES for n in _WINDOWS) + """
+  FROM sk
+),
+asked AS (SELECT DISTINCT player, CAST(ts AS DATE) + 1 AS day FROM sk),
+last AS (SELECT a.player, a.day, max(f.ts) AS ts FROM asked a
+         JOIN f ON f.player = a.player AND f.ts < a.day GROUP BY ALL),
+own AS (SELECT l.player, l.day, max(f.event_id) AS event_id
+        FROM last l JOIN f ON f.player = l.player AND f.ts = l.ts GROUP BY ALL)
+SELECT a.player, a.day, CAST(own.event_id AS DOUBLE) AS event_id, """ + ", ".join(
+    f"round(f.{c}, {R}) AS {c}" for c in _BACKTEST_COLS) + """
+FROM asked a LEFT JOIN own ON own.player = a.player AND own.day = a.day
+LEFT JOIN f ON f.player = a.player AND f.event_id = own.event_id
+"""
+
 # B2 (order x supplier nation revenue as points) in SQL.
 _B2 = """
 per_nation AS (
@@ -773,6 +794,7 @@ ORACLE = {
     "audit_and_write": AUDIT_AND_WRITE,
     "incremental_ingest": INCREMENTAL_INGEST,
     "incremental_features": INCREMENTAL_FEATURES,
+    "backtest_features": BACKTEST_FEATURES,
     "maintained_averages": MAINTAINED_AVERAGES,
     "ingest_box_scores": INGEST_BOX_SCORES,
     "stream_box_scores": STREAM_BOX_SCORES,

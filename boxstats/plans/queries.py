@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boxstats.functions import scalars as X
+from boxstats.operators import asof as AS
 from boxstats.operators import encode as ENC
 from boxstats.operators import projections as PR
 from boxstats.operators import quality as Q
@@ -149,6 +150,21 @@ def maintained_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(SA.maintained_averages(spark, base, keys, "game_date"))
 
 
+def backtest_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J7 for many dates at once (C8 as a back-test): every player is asked for on the day after
+    each of its events, and finds its latest rolling features from before that day. One player has
+    a third of all rows."""
+    box = _b1_rates(spark, sf_dir).withColumn(
+        "player", F.when(F.col("user_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+    rates = feat.rate_columns(B1_STATS)
+    rolled = win.rolling_means(box, rates, "player", B1_ORDER, name_fmt=feat.ROLLING)
+    asked = box.select("player", (F.to_date("ts") + 1).alias("day")).distinct()
+    names = [feat.ROLLING.format(col=c, n=n) for c in rates for n in win.DEFAULT_WINDOWS]
+    out = AS.as_of_join(asked, rolled, "player", "day", "ts", ["event_id", *names],
+                        ties=("event_id",))
+    return rounded(out.withColumn("event_id", F.col("event_id").cast("double")))
+
+
 # Fixed parameters of the registered queries (dates inside the driver's order dates).
 UPCOMING_DATE = "1996-03-01"
 UPCOMING_DAYS = 7
@@ -838,6 +854,7 @@ QUERIES = {
     "latest_features_per_player": latest_features_per_player,
     "rolling_lagged_features": rolling_lagged_features,
     "incremental_features": incremental_features,
+    "backtest_features": backtest_features,
     "maintained_averages": maintained_averages,
     "rolling_rate_features_skewed": rolling_rate_features_skewed,
     "daily_mean_by_group": daily_mean_by_group,
