@@ -680,6 +680,24 @@ SELECT s.gid AS "gameId", w.pid AS "personId",
 FROM s JOIN part ON p_partkey // 15 = s.team JOIN w ON w.pid = p_partkey AND rn = 1
 """
 
+COMMITTED_PREDICTIONS = f"""
+WITH {_BOX},
+g AS (
+  SELECT '00224' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS gid, o_custkey // 15 AS home,
+         CAST(o_orderdate AS DATE) AS day
+  FROM orders
+  WHERE o_orderdate >= TIMESTAMP '1998-01-05' AND o_orderdate < TIMESTAMP '1998-02-04'
+),
+s AS (SELECT gid, day, home AS team, home + 7 AS rival FROM g
+      UNION ALL SELECT gid, day, home + 7, home FROM g)
+SELECT gid AS "gameId", day AS "gameDate", team AS "teamId", rival AS "opponentId",
+       p_partkey AS "personId", 'p' || CAST(p_partkey AS VARCHAR) AS "fullName",
+       true AS predicted, '2024-01-01 ' || CASE WHEN day < DATE '1998-01-15' THEN '18' ELSE '12' END
+       || ':00:00' AS loaded
+FROM s JOIN part ON p_partkey // 15 = team
+WHERE p_partkey IN (SELECT pid FROM box)
+"""
+
 OPPONENT_AVERAGES_WITHOUT_BENCH = f"""
 WITH {_B1},
 h AS (
@@ -806,6 +824,7 @@ ORACLE = {
     "training_frame": TRAINING_FRAME,
     "no_games": NO_GAMES,
     "transform_upcoming": TRANSFORM_UPCOMING,
+    "committed_predictions": COMMITTED_PREDICTIONS,
     "feature_matrix": FEATURE_MATRIX,
     "score_points": SCORE_POINTS,
     "evaluate_points": EVALUATE_POINTS,

@@ -34,7 +34,7 @@ from boxstats.plans import pipeline as PL
 from boxstats.plans import state as SA
 from boxstats.model import points as M
 from boxstats.operators import inputs as INP
-from boxstats.session import scratch_dir
+from boxstats.session import scratch_dir, written
 from boxstats.sinks import writers as K
 from boxstats.streaming import pairs as ST
 from boxstats.streaming.ingest import stream_ingest as run_stream_ingest
@@ -761,6 +761,8 @@ def _box_tables(spark: SparkSession, sf_dir: str) -> PL.Tables:
         F.sum("l_quantity").cast("int").alias("fieldGoalsMade"),
         F.concat(F.sum("l_linenumber").cast("string"), F.lit(":30")).alias("minutes"),
         F.max("l_returnflag").alias("flag"))
+    # The landed tables: written once, so each use scans them and none computes them again.
+    box = written(box, "box")
     position = F.when(F.col("flag") == "N", "G").when(F.col("flag") == "R", "C")
     basic = _filled(box.withColumn("position", position), SC.BOX_BASIC)
     advanced = _filled(box.withColumns({
@@ -832,6 +834,26 @@ def transform_upcoming(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.round("fieldGoalsMade_per36_rolling_5", ROUND).alias("rolling_5"))
 
 
+def committed_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7 + C8 + K3 + M3: a model trained on the training frame, stored and loaded with its
+    categories, scores the games of thirty days in the source's own context and commits them; a
+    second run replaces those of the first ten days. Few small trees: the subject is the way of a
+    prediction into the table, and the value has no SQL."""
+    base, tables = scratch_dir(spark, "predictions"), _box_tables(spark, sf_dir)
+    rows, fitted = PL.training_frame(tables)
+    names = feat.feature_names(categories=ENC.encoded_names(fitted))
+    M.save_model(M.train_points(rows, names, max_iter=2, max_depth=3), fitted, f"{base}/model")
+    model, fitted = M.load_model(spark, f"{base}/model")
+    for days, hour in ((30, 0), (10, 6)):
+        PL.run_predictions(spark, tables, "1998-01-05", model, fitted, f"{base}/stored", days,
+                           ts=AUDIT_TIME + dt.timedelta(hours=hour))
+    out = K.read_stored(spark, f"{base}/stored")
+    finite = ~F.isnan("predictedPoints") & (F.abs("predictedPoints") < 1e9)
+    return out.select("gameId", "gameDate", "teamId", "opponentId", "personId", "fullName",
+                      F.coalesce(finite, F.lit(False)).alias("predicted"),
+                      F.date_format(SC.AUDIT_COLUMN, "yyyy-MM-dd HH:mm:ss").alias("loaded"))
+
+
 def audit_and_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + K2 + K4 + K5 + S7 + S8 + S9: nation with an audit column written as CSV,
     read back with its schema, truncate-loaded as parquet, an empty batch committed (writes
@@ -896,5 +918,6 @@ QUERIES = {
     "training_frame": training_frame,
     "no_games": no_games,
     "transform_upcoming": transform_upcoming,
+    "committed_predictions": committed_predictions,
     "feature_matrix": feature_matrix,
 }
