@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxstats.llm.common import saved
+from boxstats.llm.common import saved, small
 from boxstats.llm.components import connected_components
 
 # (verdict, host, path prefix); a rule fits its host and all subdomains.
@@ -27,6 +27,8 @@ URL = r"(?s)\A.*?://([^/?#]*)([^?#]*)"
 CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 REFRESH = (r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*\bcontent\s*=\s*"
            r"[\"'][^\"'>]*\burl\s*=\s*([^\"'\s>]+)")
+ENTITIES = "/:=?#%+'\"@;,~.-_<>&"
+NAMES = {"&": ["amp", "AMP"], "'": ["apos"], '"': ["quot"], "<": ["lt"], ">": ["gt"]}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -40,11 +42,37 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, URL, 2), F.lit(""))
 
 
+def without_dots(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments, as RFC 3986 removes them."""
+    segments = F.split(path, "/")
+    last = F.size(segments) - 1
+
+    def add(done: Column, at: Column) -> Column:
+        s = F.get(segments, at)
+        up = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))
+        left = F.when(s == "..", up).when(s == ".", done).otherwise(F.array_append(done, s))
+        return F.when(s.isin(".", "..") & (at == last), F.array_append(left, F.lit(""))) \
+            .otherwise(left)
+
+    kept = F.aggregate(F.sequence(F.lit(1), last), F.array(F.get(segments, 0)), add)
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.array_join(kept, "/")).otherwise(path)
+
+
 def url_key(url: Column) -> Column:
-    """What a URL stands for in the link graph: no scheme and no fragment, host lower-cased;
-    null without ``://``."""
-    rest = F.regexp_extract(url, r"(?s)\A.*?://[^/?#]*([^#]*)", 1)
-    return F.when(url.contains("://"), F.concat(url_host(url), rest))
+    """What a URL stands for in the link graph: no scheme and no fragment, host lower-cased, dot
+    segments removed; null without ``://``."""
+    query = F.regexp_extract(url, r"(?s)\A.*?://[^/?#]*[^?#]*([^#]*)", 1)
+    return F.when(url.contains("://"), F.concat(url_host(url), without_dots(url_path(url)), query))
+
+
+def decoded(link: Column) -> Column:
+    """Character references of what is special in a URL, by name or number; ``&`` itself last, so
+    nothing is decoded twice."""
+    for char in ENTITIES:
+        names = [f"#0*{ord(char)}", f"#[xX]0*(?:{ord(char):x}|{ord(char):X})", *NAMES.get(char, [])]
+        link = F.regexp_replace(link, f"&(?:{'|'.join(names)});",
+                                char)
+    return link
 
 
 def resolve(base: Column, link: Column) -> Column:
@@ -79,7 +107,7 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     links = pages.select(F.col(url_col).cast("string").alias("url"), F.explode(F.array(
         *[F.regexp_extract(F.col(html_col).cast("string"), p, 1) for p in (CANONICAL, REFRESH)]))
         .alias("link")).where("url IS NOT NULL AND link <> ''")
-    target = resolve(F.col("url"), F.regexp_replace("link", "&amp;", "&"))
+    target = resolve(F.col("url"), decoded(F.col("link")))
     return (links.select(url_key(F.col("url")).alias("u"), url_key(target).alias("v"))
             .where("u IS NOT NULL AND v IS NOT NULL AND u <> v"))
 
@@ -125,9 +153,11 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.max((member_verdict == "block").cast("int")).alias("blocked"),
         F.max((member_verdict == "allow").cast("int")).alias("allowed"))
     blocked = decided.where("blocked = 1 AND coalesce(allowed, 0) = 0").select("component")
-    aliases = members.join(blocked, "component").select(F.col("node").alias("key"),
-                                                        F.lit(True).alias("hit"))
-    out = judged.join(aliases, "key", "left")
+    aliases = saved(members.join(blocked, "component").select(
+        F.col("node").alias("key"), F.lit(True).alias("hit")), "blocked")
+    # Pages without a key have no aliases; they would all meet in one task of a shuffle join.
+    out = judged.where("key IS NOT NULL").join(small(aliases), "key", "left").unionByName(
+        judged.where("key IS NULL").withColumn("hit", F.lit(None).cast("boolean")))
     taken = F.col("own").isNull() & F.col("hit").isNotNull()
     return out.select("page_id", "host", "path", "rule", F.coalesce(
         "own", F.when(taken, "block").otherwise("allow")).alias("verdict"),

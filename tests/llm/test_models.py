@@ -8,8 +8,10 @@ import sys
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from boxstats.llm import ann, lang_id, queries, toxicity
+from boxstats.llm.common import drawn
 from boxstats.sources.tables import table
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -42,6 +44,52 @@ def test_forward_sums_all_segmentations():
             assert got[i, lang] == pytest.approx(math.log(all_segmentations("▁" + word, own)))
 
 
+def test_words_of_any_length():
+    """Beyond the length that is summed at once, and across blocks: with logarithms, position by
+    position. No piece is too long either."""
+    pieces = ["▁", "▁a", "a", "b", "ab", "ba", "internationalisation"]
+    table_ = np.random.default_rng(4).dirichlet(np.ones(len(pieces)), 2)
+    lattice = lang_id.Lattice(pieces)
+    assert lattice.longest == 20
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("ab"), n)) for n in (3, 49, 60, 1023, 1024, 2500)]
+    words += ["internationalisation" * 60, "x" * 3000, "ab" * 20]
+    got = lattice.log_probabilities(words, lattice.table(table_))
+    for i, word in enumerate(words):
+        text = "▁" + word
+        for lang in range(2):
+            own = {p: math.log(x) for p, x in zip(pieces, table_[lang])}
+            logs = [0.0]
+            for j in range(1, len(text) + 1):
+                ways = [logs[k] + own.get(text[k:j], math.log(lang_id.STRANGE) if j - k == 1
+                                          else -math.inf) for k in range(max(0, j - 20), j)]
+                most = max(ways)
+                logs.append(most + math.log(sum(math.exp(w - most) for w in ways)))
+            assert got[i, lang] == pytest.approx(logs[-1]), word[:20]
+
+
+def test_shares_of_any_size_are_drawn(spark):
+    """The threshold of a 63-bit hash for more rows than a share in millionths can tell."""
+    rows = spark.range(200_000).withColumn("n", F.col("id").cast("string"))
+    assert rows.where(drawn("n", 10, 10)).count() == 200_000
+    assert 800 < rows.where(drawn("n", 1, 200)).count() < 1200
+    assert "= 0" not in str(drawn("n", 10_000, 10**11)) and rows.where(
+        drawn("n", 10_000, 10**11)).count() < 5
+    limit = str(drawn("n", 10_000, 10**11)).split("<")[1].strip(" )'>")
+    assert int(limit) == (10_000 << 63) // 10**11
+
+
+def test_long_words_and_many_hits(spark):
+    """No cap on hits, on a naive search over folded words; a third of the words are toxic."""
+    model = {"lexicon": {" bad ": 2.0, " wors": 1.0}, "exceptions": ("bad luck",), "weights": None}
+    text = "bad worse good " * 50 + "bad luck b4d " + "z" * 50_000
+    docs = spark.createDataFrame([(1, text), (None, None)], "doc_id long, text string")
+    got = {r.doc_id: r.hits for r in toxicity.score_toxicity(docs, model).collect()}
+    words = toxicity.folded(text)
+    naive = sum(w == "bad" or w.startswith("wors") for w in words) - text.count("bad luck")
+    assert got == {1: naive, None: 0} and naive == 101
+
+
 def test_expected_uses_add_up():
     pieces = ["▁", "▁a", "a", "b", "ab"]
     lattice = lang_id.Lattice(pieces)

@@ -44,6 +44,25 @@ def page(link=None, refresh=None):
     return f"<html><head>{head}</head><body><a href='/x'>x</a></body></html>"
 
 
+def test_links_find_their_pages(spark):
+    """Relative links with dot segments and character references, against urllib."""
+    from html import unescape
+    from urllib.parse import urljoin
+    pages = ["http://a.com/x", "http://a.com/b/c/d?q=1", "http://A.com", "https://a.com/b/../c/"]
+    links = ["../y?a=1&#38;b=2", "./z", "..", "../../../w/./v/", "/p/%2e/q", "s?x=../t", "//h.org/a/..",
+             "http://k.org/a/./b/../c#f", "u&#x2F;v&amp;w", ".", "&#x3d;&amp;amp", "a..b/.c"]
+    rows = [(p, n) for p in pages for n in links]
+    df = spark.createDataFrame(rows, "url string, link string")
+    got = df.select("url", "link", url_filter.url_key(url_filter.resolve(
+        F.col("url"), url_filter.decoded(F.col("link")))).alias("key")).collect()
+    for r in got:
+        want = urljoin(r["url"], unescape(r["link"]))
+        want = urljoin(want, re.match(r"[a-z]+://[^/?#]*(.*)", want)[1])  # absolute links too
+        host = re.match(r"[a-z]+://([^/?#]*)", want)[1].lower()
+        rest = re.match(r"[a-z]+://[^/?#]*([^#]*)", want)[1]
+        assert r["key"] == host + rest, (r, want)
+
+
 def test_blocks_reach_aliases_unless_allowed(spark):
     rows = [
         (1, "https://a.example.org/x", page("http://shop.example.com/en/1")),   # target blocked
