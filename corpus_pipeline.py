@@ -2,15 +2,20 @@
 
 Every stage takes what its predecessor kept and returns documents (doc_id, text, lang, source,
 n_chars); the last returns packed pieces. Rows whose text a stage changes get a new n_chars.
+
+A stage's result is written before the next stage starts, so the next stage first removes the
+tables that its predecessor saved on the way; no stage carries the disk of the earlier ones.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxstats.llm import lang_id, near_dup, packing, quality, substring
-from boxstats.llm.common import saved, small
+from boxstats.llm.common import recorded, removed, saved, small
 from boxstats.sources.tables import table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -30,7 +35,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents by the base rules and depleted ones; the others lose their boilerplate
     lines: those of more than 20 different texts, however many texts the source has."""
-    judged = quality.quality(docs, max_percent=None, carry=("lang", "source")).where("kept")
+    judged = quality.quality(docs, carry=("lang", "source")).where("kept")
     return judged.select("doc_id", F.col("clean_text").alias("text"), "carried.*",
                          F.length("clean_text").cast("long").alias("n_chars"))
 
@@ -53,8 +58,27 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("language_id", language), ("quality_rules", rules), ("near_dedup", near_dedup),
-          ("substring_dedup", substring_dedup), ("packing", pack)]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# By application and stage: the folders that the stage's result still reads.
+FOLDERS: dict[tuple[str, str], list[str]] = {}
+
+
+def after(before: str | None, name: str, stage: Stage) -> tuple[str, Stage]:
+    """The stage, which begins by removing the saved tables of the one before."""
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        application = spark.sparkContext.applicationId
+        removed(spark, FOLDERS.pop((application, before), []))
+        with recorded() as folders:
+            result = stage(spark, docs, sf_dir)
+        FOLDERS[application, name] = folders
+        return result
+    return name, run_stage
+
+
+STAGES = [after(None, "language_id", language), after("language_id", "quality_rules", rules),
+          after("quality_rules", "near_dedup", near_dedup),
+          after("near_dedup", "substring_dedup", substring_dedup),
+          after("substring_dedup", "packing", pack)]
 
 # SQL can express neither the language model nor the tokenizer.
 ORACLE_SQL = None
