@@ -680,6 +680,11 @@ SELECT s.gid AS "gameId", w.pid AS "personId",
 FROM s JOIN part ON p_partkey // 15 = s.team JOIN w ON w.pid = p_partkey AND rn = 1
 """
 
+QUALITY_SKETCHES = " UNION ALL ".join(
+    f"SELECT '{c}' AS column, count(*) AS rows, CAST(count(*) - count({c}) AS BIGINT) AS nulls, "
+    f"true AS distinct_close, true AS median_close FROM lineitem"
+    for c in ("l_quantity", "l_extendedprice", "l_partkey", "l_suppkey"))
+
 COMMITTED_PREDICTIONS = f"""
 WITH {_BOX},
 g AS (
@@ -824,6 +829,8 @@ ORACLE = {
     "training_frame": TRAINING_FRAME,
     "no_games": NO_GAMES,
     "transform_upcoming": TRANSFORM_UPCOMING,
+    "quality_sketches": QUALITY_SKETCHES,
+    "bucketed_history": HISTORICAL_STATS,
     "committed_predictions": COMMITTED_PREDICTIONS,
     "feature_matrix": FEATURE_MATRIX,
     "score_points": SCORE_POINTS,

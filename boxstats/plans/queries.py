@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from boxstats.functions import scalars as X
 from boxstats.operators import asof as AS
 from boxstats.operators import encode as ENC
+from boxstats.operators import profile as PF
 from boxstats.operators import projections as PR
 from boxstats.operators import quality as Q
 from boxstats.sources import landing as LD
@@ -416,6 +417,45 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_report(li, ["l_orderkey", "l_linenumber"], rels)
 
 
+PROFILED = ("l_quantity", "l_extendedprice", "l_partkey", "l_suppkey")
+
+
+def quality_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 over time: profiles of lineitem by year of shipping, the years stored one after the
+    other and one of them again, merged over all. Sketches are estimates, so the columns say
+    whether distinct values and median lie within the stated errors of the exact ones."""
+    li = table(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))
+    path = f"{scratch_dir(spark, 'profiles')}/stored"
+    profiles = written(PF.batch_profiles(li, "year", PROFILED), "profiles")
+    middle = F.col("batch") < "1996"
+    for part in (profiles.filter(middle), profiles.filter(~middle), profiles.filter(middle)):
+        PF.store_profiles(spark, path, part)
+    found = PF.estimates(PF.merged(PF.read_profiles(spark, path)))
+    exact = li.agg(F.array(*[F.struct(F.lit(c).alias("column"), F.count_distinct(c).alias("n"))
+                             for c in PROFILED]).alias("x")).select(F.explode("x").alias("x"))
+    found = found.join(F.broadcast(exact.select("x.*")), "column")
+    # Four numbers. The share of values below a median, and up to it, must have a half between them.
+    medians = {r.column: r.median for r in found.select("column", "median").collect()}
+    ranks = li.agg(F.array(*[F.struct(
+        F.lit(c).alias("column"), (F.avg((F.col(c) < m).cast("int")) < 0.52).alias("low"),
+        (F.avg((F.col(c) <= m).cast("int")) > 0.48).alias("high")) for c, m in medians.items()])
+        .alias("r")).select(F.explode("r").alias("r")).select("r.*")
+    close = F.abs(F.col("distinct") - F.col("n")) <= 0.04 * F.col("n")
+    return found.join(F.broadcast(ranks), "column").select(
+        "column", "rows", "nulls", close.alias("distinct_close"),
+        (F.col("low") & F.col("high")).alias("median_close"))
+
+
+def bucketed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 on tables bucketed by the join's keys: C2 without a shuffle of either box score."""
+    t = _box_tables(spark, sf_dir)
+    base = scratch_dir(spark, "bucketed")
+    boxes = [K.write_bucketed(df, f"{base}/{name}", H.BOX_KEYS) for name, df in
+             (("basic", t.basic), ("advanced", t.advanced))]
+    return H.historical_stats(*boxes, t.players).select(
+        "gameId", "personId", "points", "minutes", "possessions", "position_player")
+
+
 TRAIN_SPLIT = "2024-01-21"
 B1_FEATURES = feat.feature_names(stats=B1_STATS)
 
@@ -902,6 +942,8 @@ QUERIES = {
     "lower_columns": lower_columns,
     "dedup_roster": dedup_roster,
     "quality_report": quality_report,
+    "quality_sketches": quality_sketches,
+    "bucketed_history": bucketed_history,
     "prediction_inputs": prediction_inputs,
     "score_points": score_points,
     "evaluate_points": evaluate_points,
