@@ -104,19 +104,24 @@ def documents_of(docs: DataFrame, id_col: str, text_col: str,
     return docs.select(*columns)
 
 
-def by_bytes(texts: Iterable[str], most: int) -> Iterator[list[int]]:
-    """Index groups of about ``most`` characters; a longer text forms its own group."""
-    group, size = [], 0
-    for i, text in enumerate(texts):
-        if group and size + len(text) > most:
+def balanced(sizes: Iterable[int], most: int) -> Iterator[list[int]]:
+    """Index groups of about ``most`` in size; a larger item forms its own group."""
+    group, total = [], 0
+    for i, size in enumerate(sizes):
+        if group and total + size > most:
             yield group
-            group, size = [], 0
+            group, total = [], 0
         group.append(i)
-        size += len(text)
+        total += size
     if group:
         yield group
 
 
+def by_bytes(texts: Iterable[str], most: int) -> Iterator[list[int]]:
+    """Index groups of about ``most`` characters; a longer text forms its own group."""
+    return balanced(map(len, texts), most)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Maximal runs of characters other than ASCII white space, as UTF-8."""
     return text.encode().split() if text else []

@@ -6,7 +6,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from boxstats.llm.common import by_bytes, documents_of, worker_state
+from boxstats.llm.common import balanced, documents_of, worker_state
 from boxstats.llm.tokens import count_cache
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
@@ -26,10 +26,10 @@ def piece_counts(path: str):
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  tokenizer: str | None = None, limit: int = 1024,
-                 batch_chars: int = 1 << 20) -> DataFrame:
+                 batch_bytes: int = 1 << 20) -> DataFrame:
     """One row per input row: id, UTF-8 bytes, tokens, and whether the tokens exceed ``limit``.
 
-    Texts of an Arrow batch are taken in groups balanced by size, split at safe boundaries, and
+    Texts of an Arrow batch are taken in groups balanced by their bytes, split at safe boundaries, and
     the pieces not seen before are encoded as batches; only lengths leave the function. Null and
     empty texts count zero tokens; a null id stays null; repeated rows are counted each. No
     shuffle; memory is one Arrow batch and a bounded cache. ``tokenizer``: a ``.json`` file of a
@@ -44,7 +44,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             texts = [t or "" for t in batch.column(1).to_pylist()]
             sizes = [len(t.encode()) for t in texts]
             tokens: list[int] = []
-            for group in by_bytes(texts, batch_chars):
+            for group in balanced(sizes, batch_bytes):
                 tokens += count([texts[i] for i in group])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64()),
