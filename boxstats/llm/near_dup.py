@@ -216,7 +216,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     .agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"),
                          F.first("planes").alias("planes"))
                     .withColumn("doc", F.monotonically_increasing_id()), "classes")
-    one = classes.select("doc", F.col("n_shingles").alias("n"), "keys",
+    one = classes.select("doc", "rep", F.col("n_shingles").alias("n"), "keys",
                          *[F.get("planes", F.lit(k)).alias(f"p{k}") for k in range(PLANES)])
     same_id = saved(shared_ids(worded, classes), "same-id")
     if coordinates > 64:
@@ -234,14 +234,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bits = F.aggregate(last, F.lit(0).cast("long"), lambda m, k: m.bitwiseOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(255)).cast("int"))))
     signed = saved(one.join(in_long, "doc", "left")
-                   .select("doc", "n", "keys", *SIGNATURE[1:], bits.alias("long")), "signed")
+                   .select("doc", "rep", "n", "keys", *SIGNATURE[1:], bits.alias("long")),
+                   "signed")
     pieces = F.transform(coded, lambda k, i: F.struct(
         k.alias("key"), (F.call_function("shiftright", F.col("long"), i).bitwiseAND(F.lit(1)) == 1)
         .alias("in_long")))
     ordered = F.concat(F.filter(pieces, lambda x: ~x["in_long"]),
                        F.filter(pieces, lambda x: x["in_long"]))
-    postings = saved(signed.select("doc", F.explode(F.slice(ordered, 1, prefix)).alias("at"))
-                     .select("doc", "at.key", "at.in_long"), "postings")
+    postings = saved(signed.select("doc", "rep", F.explode(F.slice(ordered, 1, prefix)).alias("at"))
+                     .select("doc", "rep", "at.key", "at.in_long"), "postings")
 
     def side(x: str, table: DataFrame, *columns: str) -> DataFrame:
         return table.select(*[F.col(c).alias(f"{c}_{x}") for c in columns])
@@ -253,7 +254,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .where(like_sizes("n_a", "n_b", percent) & agreeing(coordinates, matches))
                 .select("a", "b"))
 
-    heads = saved(postings.groupBy("key").agg(F.min("doc").alias("head"), F.count("*").alias("n"))
+    # The smallest id heads the list: an original tends to come before what was made from it.
+    heads = saved(postings.groupBy("key").agg(F.min_by("doc", "rep").alias("head"),
+                                              F.count("*").alias("n"))
                   .where("n > 1").select("key", "head"), "heads")
     stars = (postings.join(heads, "key").where("doc <> head")
              .select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct())
