@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from boxstats.functions.scalars import normalise_game_id
 from boxstats.operators.games import with_game_type
+from boxstats.operators.joins import bounded_broadcast
 from boxstats.operators.projections import conform, lower_columns
 from boxstats.sinks.writers import read_stored
 from boxstats.sources import schemas as SC
@@ -129,7 +130,9 @@ def split_payloads(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined rows), by whole files. A file is one game's payload, so one
     bad record quarantines all its rows: the game stays out of the stored ids and is ingested
     once the file is repaired."""
-    files = df.filter(bad_payload()).select(SC.FILE_COLUMN).distinct()
+    # One row a bad file: by its size a broadcast, so the rows are not shuffled by file.
+    files = bounded_broadcast(df.filter(bad_payload()).select(SC.FILE_COLUMN).distinct(),
+                              derived=True)
     good = df.join(files, SC.FILE_COLUMN, "left_anti").drop(SC.CORRUPT_COLUMN, SC.FILE_COLUMN)
     return good, df.join(files, SC.FILE_COLUMN, "left_semi").select(*df.columns)
 

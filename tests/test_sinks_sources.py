@@ -208,3 +208,18 @@ def test_catalog_table_roundtrip(spark):
     assert sorted(r.person_id for r in back.collect()) == [1, 2]
     K.write_truncate(df.limit(1), "boxstats_test_players", fmt="table")
     assert RD.load_table(spark, "boxstats_test_players", fmt="table").count() == 1
+
+
+def test_payload_rows_are_not_shuffled_by_file(spark, tmp_path):
+    for name, lines in (("a", ['{"gameId": "0022400001", "personId": 1}', '{"gameId": "00']),
+                        ("b", ['{"gameId": "0022400002", "personId": 2}'])):
+        (tmp_path / f"{name}.json").write_text("\n".join(lines))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        good, bad = RD.split_payloads(RD.read_payloads(spark, str(tmp_path), SC.BASIC_PAYLOAD))
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (good, bad)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in plans)
+    assert [r.personId for r in good.collect()] == [2] and bad.count() == 2
