@@ -9,8 +9,9 @@ signatures; pairs above the match threshold are confirmed on the full shingle se
 
 No list is ever expanded into all its pairs: first every member is paired with the list's smallest
 id, and the confirmed links are closed into components; then only members that are still in
-different components are paired, once over all their lists, and in long lists only where sketches
-of the sets (the whole sets of short texts) are similar too.
+different components are paired, once over all their lists, and in long lists, block by block, only
+where sketches of the sets (the whole sets of short texts) are similar too. Links are confirmed in
+blocks too: a set goes once to each block that compares it, not once to each of its pairs.
 """
 
 from __future__ import annotations
@@ -23,22 +24,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxstats.llm.common import (documents_of, saved, small, window_hashes, word_hashes,
-                                 words_of)
+from boxstats.llm.common import documents_of, mixed, saved, small, window_hashes, word_hashes
 from boxstats.llm.components import connected_components
 
 PLANES = 32                                 # bits of a coordinate's value
-LIST_BLOCK = 2048                           # members of a long list that one task pairs
+LIST_BLOCK = 2048                           # members of a long list on each side of a comparison
+# Links are confirmed between two blocks of sets: bytes of a block, and pairs of two.
+SET_BYTES = 16 << 20
+BLOCK_PAIRS = 250_000
 SIGNATURE = ("n", *[f"p{k}" for k in range(PLANES)])
 
 
 def shingles(text: str | None, width: int = 5) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the windows of ``width`` words (A-Z lower-cased); fewer
     words form one window; no words, no windows."""
-    words = words_of(text)
+    words = text.encode().lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
-    hashes = word_hashes([w.lower() for w in words])
+    hashes = word_hashes(words)
     return np.unique(window_hashes(hashes, min(width, len(words))))
 
 
@@ -49,14 +52,16 @@ def multipliers(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(hashes: np.ndarray, multiply: np.ndarray, plus: np.ndarray) -> np.ndarray:
-    """Minimum of each coordinate's 32-bit hash, in blocks, so memory does not grow with the
-    text."""
+    """32-bit hash of each coordinate's 64-bit minimum, in blocks, so memory does not grow with the
+    text. Minima of large sets are small: their own upper bits would agree by chance in many pairs
+    of texts, ever more with their number."""
     least = np.full(len(multiply), np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
-        for i in range(0, len(hashes), 4096):
-            block = hashes[i:i + 4096, None] * multiply + plus
-            np.minimum(least, (block >> np.uint64(32)).min(axis=0), out=least)
-    return least.astype(np.uint32).view(np.int32)
+        for i in range(0, len(hashes), 512):
+            block = hashes[i:i + 512] * multiply[:, None]
+            block += plus[:, None]
+            np.minimum(least, block.min(axis=1), out=least)
+        return (mixed(least) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def bit_planes(signature: np.ndarray) -> np.ndarray:
@@ -141,16 +146,15 @@ def per_class(docs: DataFrame, wanted: DataFrame, width: int, name: str, kind: s
         found.dropDuplicates(["id"]), name)
 
 
-def sketch_similar(percent: int, size: int) -> Column:
+def sketch_similar(x: np.ndarray, y: np.ndarray, n_x: int, n_y: int, percent: int,
+                   size: int) -> bool:
     """Exact where both sketches are whole sets. Else: what both sets share among the ``size``
     smallest hashes of their union is in both sketches, about ``percent`` % of ``size`` for sets as
     similar as that; four standard errors less are asked for."""
-    both = F.size(F.array_intersect("sketch_a", "sketch_b"))
-    share = percent / 100
-    least = int(size * share - 4 * (size * share * (1 - share)) ** 0.5)
-    return F.when((F.col("n_a") <= size) & (F.col("n_b") <= size),
-                  both * 100 >= (F.col("n_a") + F.col("n_b") - both) * percent).otherwise(
-        both >= least)
+    both, share = len(np.intersect1d(x, y, assume_unique=True)), percent / 100
+    if n_x <= size and n_y <= size:
+        return both * 100 >= (n_x + n_y - both) * percent
+    return both >= int(size * share - 4 * (size * share * (1 - share)) ** 0.5)
 
 
 def like_sizes(a: str, b: str, percent: int) -> Column:
@@ -160,28 +164,89 @@ def like_sizes(a: str, b: str, percent: int) -> Column:
 
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
               percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
+    """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union.
+
+    Documents are dealt into blocks; a task has the sets of two blocks, each once, and their pairs.
+    There are so many blocks that two of them fit a task, and that all tasks have work."""
     ids = saved(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "ids")
     wanted = saved(classes.select("doc", "rep", "h1", "h2").join(small(ids), "doc", "left_semi"),
                    "wanted")
     full = per_class(docs, wanted, width, "shingles", "binary", np.ndarray.tobytes)
-
-    def check(batches):
-        for batch in batches:
-            rows = zip(*(c.to_pylist() for c in batch.columns))
-            good = []
-            for a, b, x, y in rows:
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    good.append((a, b))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([g[i] for g in good], pa.int64()) for i in range(2)], names=["a", "b"])
-
-    left = full.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
-    right = full.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-            .mapInArrow(check, "a long, b long"))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = full.agg(F.coalesce(F.sum(F.octet_length("shingles")), F.lit(0))).first()[0]
+    blocks = 1 + max(int((2 * tasks) ** 0.5), total // SET_BYTES,
+                     int((pairs.count() / BLOCK_PAIRS) ** 0.5))
+
+    def block(doc: str) -> Column:
+        return F.pmod(F.xxhash64(doc), F.lit(blocks)).cast("int")
+
+    at = ["i", "j"]  # named anew on one side below, as both come from the same table
+    dealt = pairs.select("a", "b", block("a").alias("i"), block("b").alias("j"))
+    used = dealt.select(F.explode(F.array("a", "b")).alias("id"), *at).distinct()
+
+    def check(two, sets):
+        of = {k: np.frombuffer(x, np.uint64) for k, x in zip(
+            sets.column("id").to_pylist(), sets.column("shingles").to_pylist())}
+        good = []
+        for a, b in zip(two.column("a").to_pylist(), two.column("b").to_pylist()):
+            x, y = of[a], of[b]
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                good.append((a, b))
+        return pa.table([pa.array([g[i] for g in good], pa.int64()) for i in range(2)],
+                        names=["a", "b"])
+
+    # A number of partitions that is asked for stays: a little data is much work here.
+    left = dealt.repartition(tasks, *at)
+    right = (used.join(full, "id").select("id", "shingles", *[F.col(c).alias(c) for c in at])
+             .repartition(tasks, *at))
+    return left.groupBy(*at).cogroup(right.groupBy(*at)).applyInArrow(check, "a long, b long")
+
+
+def crowded_pairs(lists: DataFrame, percent: int, matches: int, sketch: int) -> DataFrame:
+    """(a, b): pairs of long lists that are still in different components, whose sizes fit and whose
+    signatures agree often enough, sketches too, each in the first long list that both lie in.
+    ``lists``: key, doc, label, n, keys, long, sketch, and of the list ``main``, its members ``size``
+    and those without main ``away``. Either side comes in blocks, so a task's memory does not grow
+    with the list."""
+    def blocks(n: str) -> Column:
+        return (1 + F.floor(F.col(n) / LIST_BLOCK)).cast("int")
+
+    def block(n: str) -> Column:
+        return F.pmod(F.xxhash64("doc"), blocks(n)).cast("int")
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+
+    def pair(at, a, b):
+        if not (a.num_rows and b.num_rows):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        (x, x_doc, x_label, x_n, x_long), (y, y_doc, y_label, y_n, _) = (
+            (t.column("keys").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1),
+             *(t.column(c).to_numpy() for c in ("doc", "label", "n", "long"))) for t in (a, b))
+        # The same for all rows of a list: its main component, and the coordinate of its key.
+        main, place = b.column("main")[0].as_py(), at[0].as_py() & 255
+        y, sketches, found = np.ascontiguousarray(y.T), b.column("sketch").combine_chunks(), []
+        for i in range(len(x)):
+            like = ((y_label == main) | (x_label[i] < y_label)) & (
+                x_n[i] * 100 >= y_n * percent) & (y_n * 100 >= x_n[i] * percent)
+            equal = y == x[i][:, None]
+            like &= equal.sum(axis=0, dtype=np.uint8) >= matches
+            earlier = [k for k in range(place) if int(x_long[i]) >> k & 1]
+            like &= ~equal[earlier].any(axis=0)
+            mine = a.column("sketch")[i].values.to_numpy()
+            found += [(x_doc[i], y_doc[k]) for k in np.flatnonzero(like).tolist() if sketch_similar(
+                mine, sketches[k].values.to_numpy(), x_n[i], y_n[k], percent, sketch)]
+        return pa.table([pa.array([f(p) for p in found], pa.int64()) for f in (min, max)],
+                        names=["a", "b"])
+
+    at = ["key", "i", "j"]
+    tasks = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a = (lists.where("label <> main").withColumn("i", block("away")).withColumn("j", every("size"))
+         .repartition(tasks, *at))
+    b = (lists.select(*[F.col(c).alias(c) for c in lists.columns]).withColumn("j", block("size"))
+         .withColumn("i", every("away")).repartition(tasks, *at))
+    return a.groupBy(*at).cogroup(b.groupBy(*at)).applyInArrow(pair, "a long, b long")
 
 
 def shared_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -274,38 +339,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_keys = (labelled.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key")
                  .agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"))
                  .where("n > most.n")
-                 .select("key", F.col("most.label").alias("main"),
-                         (1 + F.floor((F.col("n") - F.col("most.n")) / LIST_BLOCK)).cast("int")
-                         .alias("blocks")))
+                 .select("key", F.col("most.label").alias("main"), F.col("n").alias("size"),
+                         (F.col("n") - F.col("most.n")).alias("away")))
     rest = saved(labelled.join(open_keys, "key"), "open")
 
-    def crossing(lists: DataFrame, in_long: bool, *more: str) -> DataFrame:
-        a, b = (side(x, lists, "key", "doc", "label", "main", "blocks", *SIGNATURE, "long",
-                     *more)
-                for x in "ab")
-        a = a.where("label_a <> main_a")
-        test = ((F.col("key_a") == F.col("key_b"))
-                & ((F.col("label_b") == F.col("main_b")) | (F.col("label_a") < F.col("label_b")))
-                & like_sizes("n_a", "n_b", percent) & agreeing(coordinates, matches)
-                & first_common(in_long))
-        if more:
-            # The side without the main component in blocks, the other once for each of them: a
-            # task compares one block with one list, however long the list is.
-            a = a.withColumn("block", F.pmod(F.xxhash64("doc_a"), F.col("blocks_a")).cast("int"))
-            b = b.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks_b") - 1)))
-            a, b = a.repartition("key_a", "block"), b.repartition("key_b", "block")
-            test = test & (a.block == b.block) & sketch_similar(percent, sketch)
-        return a.join(b, test).select(F.least("doc_a", "doc_b").alias("a"),
-                                      F.greatest("doc_a", "doc_b").alias("b"))
-
-    short = crossing(rest.where("NOT in_long").join(signed, "doc"), False)
+    a, b = (side(x, rest.where("NOT in_long").join(signed, "doc"), "key", "doc", "label", "main",
+                 *SIGNATURE, "long") for x in "ab")
+    test = ((F.col("key_a") == F.col("key_b")) & (F.col("label_a") != F.col("main_a"))
+            & ((F.col("label_b") == F.col("main_b")) | (F.col("label_a") < F.col("label_b")))
+            & like_sizes("n_a", "n_b", percent) & agreeing(coordinates, matches)
+            & first_common(False))
+    short = a.join(b, test).select(F.least("doc_a", "doc_b").alias("a"),
+                                   F.greatest("doc_a", "doc_b").alias("b"))
     crowd = rest.where("in_long")
     in_crowd = saved(classes.select("doc", "rep", "h1", "h2").join(
         small(saved(crowd.select("doc").distinct(), "ids")), "doc", "left_semi"), "wanted")
     drawn = per_class(source, in_crowd, width, "sketch", "array<long>",
                       lambda found: (found >> np.uint64(16)).astype(np.int64)[:sketch])
-    crowded = crossing(crowd.join(signed, "doc").join(drawn, F.col("doc") == F.col("id")), True,
-                       "sketch")
+    crowded = crowded_pairs(
+        crowd.join(signed.select("doc", "n", "keys", "long"), "doc")
+        .join(drawn.withColumnRenamed("id", "doc"), "doc"), percent, matches, sketch)
     crossing_pairs = saved(short.unionByName(crowded).distinct(), "open-pairs")
     component = label
     if not crossing_pairs.isEmpty():

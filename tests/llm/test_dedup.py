@@ -123,6 +123,34 @@ def test_match_threshold_misses_little():
     assert misses <= 5
 
 
+def test_unrelated_sets_share_no_list_by_chance():
+    rng, seen = np.random.default_rng(4), Counter()
+    multiply, plus = near_dup.multipliers(64)
+    for _ in range(400):
+        found = near_dup.signature(rng.integers(0, 1 << 63, 20_000, dtype=np.uint64), multiply, plus)
+        seen.update(enumerate(found.tolist()))
+    assert max(seen.values()) == 1
+
+
+def test_long_lists_and_links_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "LIST_BLOCK", 7)
+    monkeypatch.setattr(near_dup, "SET_BYTES", 3_000)
+    texts = corpus()
+    got = near_dup.near_duplicates(documents(spark, texts), long_list=4).collect()
+    assert {r.doc_id: r.component_id for r in got} == expected_groups(texts)[1]
+
+
+def test_much_work_on_little_data_stays_dealt(spark):
+    """Adaptive execution joins small partitions; comparisons of many pairs must not meet there."""
+    rows = [(7 << 8, i, i % 50, 50, [i] * 64, 1, [i], 0, 400, 392) for i in range(400)]
+    lists = spark.createDataFrame(rows, "key long, doc long, label long, n long, keys array<int>, "
+                                        "long long, sketch array<long>, main long, size long, away long")
+    pairs = near_dup.crowded_pairs(lists, 75, 36, 256)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2 and "REPARTITION_BY_COL" not in plan
+    assert pairs.isEmpty()
+
+
 def test_a_pair_is_formed_in_its_first_common_list_of_a_kind(spark):
     rng, rows, want = np.random.default_rng(8), [], []
     for k in range(200):
